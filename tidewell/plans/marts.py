@@ -99,13 +99,14 @@ def value_segments(p360: DataFrame) -> DataFrame:
          .agg(F.count(F.lit(1)).alias("jogadores"),
               F.min("ltv_brl").alias("mn"), F.sum(_dec("ltv_brl")).alias("sm"),
               F.avg("deposit_count").alias("dep")))
-    share = F.col("sm") / F.sum("sm").over(Window.partitionBy())  # <= 5 aggregated rows
+    total = F.sum("sm").over(Window.partitionBy()).cast("double")  # <= 5 aggregated rows
+    share = F.lit(100.0) * F.col("sm").cast("double") / total
     return g.select(
         "value_tier", "jogadores",
         F.round("mn", 2).alias("ltv_min_brl"),
         F.round(F.col("sm").cast("double") / F.col("jogadores"), 2).alias("ltv_medio_brl"),
         _money(F.col("sm")).alias("ltv_total_brl"),
-        F.round((share * 100).cast("double"), 1).alias("pct_do_ltv_alvo"),
+        F.round(share, 1).alias("pct_do_ltv_alvo"),
         F.round("dep", 1).alias("depositos_medio"))
 
 
