@@ -109,3 +109,27 @@ def day_bucket(c: str | Column) -> Column:
     for bound, label in DAY_BUCKETS:
         expr = F.when(c <= bound, label) if expr is None else expr.when(c <= bound, label)
     return expr.otherwise(DAY_BUCKET_TAIL)
+
+
+# --------------------------------------------------------------------------- exact rounding
+def with_half_up(df, out: str, num: Column, den: Column, scale: int, num_scale: int = 0):
+    """``out = round(num / 10^num_scale / den, scale)``, exactly, half away from zero.
+
+    ``num`` must be integer-valued (e.g. cents as DECIMAL(38,0)). Integer
+    division (``div``) avoids the binary-double tie problem: 2432517.07 / 2 is
+    1216258.535 exactly and rounds to .54 in every engine.
+    """
+    from pyspark.sql import functions as _F
+
+    k = 10 ** scale
+    d = 10 ** num_scale
+    df = df.withColumn("_hn", num.cast("decimal(38,0)")).withColumn("_hd", den.cast("decimal(38,0)"))
+    q = _F.expr(f"(2 * abs(_hn) * {k} + _hd * {d}) div (2 * _hd * {d})")
+    sign = _F.when(_F.col("_hn") < 0, -1).otherwise(1)
+    val = (sign * q).cast("double") / float(k)
+    return df.withColumn(out, _F.when(_F.col("_hd") == 0, _F.lit(None)).otherwise(val)).drop("_hn", "_hd")
+
+
+def cents(c: str | Column) -> Column:
+    """2-dp decimal money -> integer cents (exact)."""
+    return (col_(c).cast("decimal(38,2)") * 100).cast("decimal(38,0)")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import (DEFAULT_OFFER, DEFAULT_PRODUCT, DEFAULT_TIER, DORMANCY_DAYS,
                       SEGMENT_ORDER, TARGET_DAYS, TARGET_TIERS, TIER_LABELS, UNKNOWN)
-from ..functions import day_bucket, ts_lit, whole_days
+from ..functions import cents, day_bucket, ts_lit, whole_days, with_half_up
 from ..operators import ranking
 
 
@@ -98,16 +98,14 @@ def value_segments(p360: DataFrame) -> DataFrame:
     g = (p360.where(_actionable()).groupBy("value_tier")
          .agg(F.count(F.lit(1)).alias("jogadores"),
               F.min("ltv_brl").alias("mn"), F.sum(_dec("ltv_brl")).alias("sm"),
-              F.avg("deposit_count").alias("dep")))
-    total = F.sum("sm").over(Window.partitionBy()).cast("double")  # <= 5 aggregated rows
-    share = F.lit(100.0) * F.col("sm").cast("double") / total
+              F.sum("deposit_count").alias("dep")))
+    g = g.withColumn("tot", F.sum("sm").over(Window.partitionBy()))  # <= 5 aggregated rows
+    g = with_half_up(g, "ltv_medio_brl", cents("sm"), F.col("jogadores"), 2, 2)
+    g = with_half_up(g, "pct_do_ltv_alvo", cents("sm") * 100, cents("tot"), 1)
+    g = with_half_up(g, "depositos_medio", F.col("dep"), F.col("jogadores"), 1)
     return g.select(
-        "value_tier", "jogadores",
-        F.round("mn", 2).alias("ltv_min_brl"),
-        F.round(F.col("sm").cast("double") / F.col("jogadores"), 2).alias("ltv_medio_brl"),
-        _money(F.col("sm")).alias("ltv_total_brl"),
-        F.round(share, 1).alias("pct_do_ltv_alvo"),
-        F.round("dep", 1).alias("depositos_medio"))
+        "value_tier", "jogadores", F.round("mn", 2).alias("ltv_min_brl"), "ltv_medio_brl",
+        _money(F.col("sm")).alias("ltv_total_brl"), "pct_do_ltv_alvo", "depositos_medio")
 
 
 def last_offer(star: dict[str, DataFrame], touch_ref: _dt.date) -> DataFrame:
@@ -129,9 +127,9 @@ def ltv_channel_offer_product(p360: DataFrame, offers: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("is_dormant"), 1).otherwise(0)).cast("bigint").alias("dormentes"),
         F.sum(F.when(_actionable(), 1).otherwise(0)).cast("bigint").alias("acionaveis"),
         F.sum(_dec("ltv_brl")).alias("sm"))
+    g = with_half_up(g, "ltv_medio_brl", cents("sm"), F.col("jogadores"), 2, 2)
     return g.select("acquisition_channel", "offer", "primary_product", "jogadores", "dormentes",
-                    "acionaveis", _money(F.col("sm")).alias("ltv_total_brl"),
-                    F.round(F.col("sm").cast("double") / F.col("jogadores"), 2).alias("ltv_medio_brl"))
+                    "acionaveis", _money(F.col("sm")).alias("ltv_total_brl"), "ltv_medio_brl")
 
 
 def _resolved(cols: list[str]) -> F.Column:
@@ -169,12 +167,11 @@ def dormancy_gaps(star: dict[str, DataFrame]) -> DataFrame:
     g = _gaps(activity_days(star)).where(F.col("gap").isNotNull())
     agg = g.groupBy(day_bucket("gap").alias("faixa_dias")).agg(
         F.count(F.lit(1)).alias("intervalos"), F.max("gap").alias("maior_gap_da_faixa"))
-    total = F.sum("intervalos").over(Window.partitionBy())          # <= 8 rows
-    run = F.sum("intervalos").over(Window.orderBy("faixa_dias"))    # <= 8 rows
-    return agg.select("faixa_dias", "intervalos",
-                      F.round(100.0 * F.col("intervalos") / total, 2).alias("pct"),
-                      F.round(100.0 * run / total, 2).alias("pct_acumulado"),
-                      "maior_gap_da_faixa")
+    agg = agg.withColumn("tot", F.sum("intervalos").over(Window.partitionBy()))      # <= 8 rows
+    agg = agg.withColumn("run", F.sum("intervalos").over(Window.orderBy("faixa_dias")))  # <= 8 rows
+    agg = with_half_up(agg, "pct", F.col("intervalos") * 100, F.col("tot"), 2)
+    agg = with_half_up(agg, "pct_acumulado", F.col("run") * 100, F.col("tot"), 2)
+    return agg.select("faixa_dias", "intervalos", "pct", "pct_acumulado", "maior_gap_da_faixa")
 
 
 def dormancy_return(star: dict[str, DataFrame], ref: _dt.date) -> DataFrame:
@@ -187,8 +184,8 @@ def dormancy_return(star: dict[str, DataFrame], ref: _dt.date) -> DataFrame:
     p = observed.unionByName(open_).where(F.col("dias_parado").isNotNull())
     g = p.groupBy(day_bucket("dias_parado").alias("faixa_dias")).agg(
         F.count(F.lit(1)).alias("pausas"), F.sum("voltou").cast("bigint").alias("voltaram"))
-    return g.select("faixa_dias", "pausas", "voltaram",
-                    F.round(100.0 * F.col("voltaram") / F.col("pausas"), 1).alias("taxa_retorno_pct"))
+    g = with_half_up(g, "taxa_retorno_pct", F.col("voltaram") * 100, F.col("pausas"), 1)
+    return g.select("faixa_dias", "pausas", "voltaram", "taxa_retorno_pct")
 
 
 def primary_product(star: dict[str, DataFrame]) -> DataFrame:

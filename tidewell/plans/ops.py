@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ERROR, WARN
+from ..functions import with_half_up
 from ..operators import dq
 
 DQ_COLS = ["ingest_date", "entity", "check", "column", "severity", "passed",
@@ -22,9 +23,9 @@ def run_verdict(report: DataFrame) -> DataFrame:
 
 def trend(report: DataFrame) -> DataFrame:
     """Affected checks with their percentage, per load."""
-    return report.where(F.col("failed_records") > 0).select(
-        "ingest_date", "entity", "column", "check", "failed_records",
-        F.round(F.col("failed_ratio") * 100, 2).alias("pct"))
+    r = report.where(F.col("failed_records") > 0)
+    r = with_half_up(r, "pct", F.col("failed_records") * 100, F.col("total_records"), 2)
+    return r.select("ingest_date", "entity", "column", "check", "failed_records", "pct")
 
 
 def verdict_changes(report: DataFrame) -> DataFrame:

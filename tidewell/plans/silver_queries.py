@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import UNKNOWN
+from ..functions import cents, with_half_up
 
 
 def _dec(c: str) -> F.Column:
@@ -59,8 +60,9 @@ def ltv_by_channel(s: dict[str, DataFrame]) -> DataFrame:
     j = per.join(p, "player_id")
     g = j.groupBy("acquisition_channel").agg(F.countDistinct("player_id").alias("jogadores"),
                                              F.sum("dep").alias("sm"))
+    g = with_half_up(g, "por_jogador", cents("sm"), F.col("jogadores"), 2, 2)
     return g.select("acquisition_channel", "jogadores", _money(F.col("sm")).alias("depositado_brl"),
-                    F.round(F.col("sm").cast("double") / F.col("jogadores"), 2).alias("por_jogador"))
+                    "por_jogador")
 
 
 def product_result(s: dict[str, DataFrame]) -> DataFrame:
@@ -69,10 +71,10 @@ def product_result(s: dict[str, DataFrame]) -> DataFrame:
                                          F.sum(_dec("stake_brl")).alias("st"),
                                          F.sum(_dec("payout_brl")).alias("po"))
     res = F.col("st") - F.col("po")
+    g = with_half_up(g, "retencao_pct", (cents("st") - cents("po")) * 100, cents("st"), 2)
     return g.select("product", "apostas", _money(F.col("st")).alias("apostado_brl"),
                     _money(F.col("po")).alias("pago_brl"), _money(res).alias("resultado_brl"),
-                    F.round(F.lit(100.0) * res.cast("double") / F.col("st").cast("double"), 2)
-                    .alias("retencao_pct"))
+                    "retencao_pct")
 
 
 def compliance_counts(s: dict[str, DataFrame]) -> DataFrame:
