@@ -46,9 +46,8 @@ def to_ts(c: str | Column) -> Column:
     """
     c = col_(c)
     return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz"),
-        c.try_cast("timestamp_ntz"),
-        c.try_cast("timestamp").cast("timestamp_ntz"),
+        c.try_cast("timestamp_ntz"),                       # fast path: plain ISO text
+        c.try_cast("timestamp").cast("timestamp_ntz"),     # ISO with offset / 'Z'
     )
 
 

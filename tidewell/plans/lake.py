@@ -119,16 +119,16 @@ class Lake:
         for e, df in self.bronze.items():
             data = df.select(*BRONZE_CONTRACTS[e].columns, *group_cols)
             parts.append(dq.run_contract(data, e, BRONZE_CONTRACTS[e],
-                                         self.refs.quarantine[e], group_cols))
+                                         self.refs.quarantine[e], group_cols, ratio=False))
         frames = {e: df.select(*BRONZE_CONTRACTS[e].columns, *group_cols)
                   for e, df in self.bronze.items()}
-        fk = dq.run_foreign_keys(frames, BRONZE_CONTRACTS, group_cols)
+        fk = dq.run_foreign_keys(frames, BRONZE_CONTRACTS, group_cols, ratio=False)
         if fk is not None:
             parts.append(fk)
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        return out
+        return dq.with_ratio(out)
 
     def dq_report(self) -> DataFrame:
         """The DQ report rows (entity x check per ingest load) with run columns."""

@@ -25,6 +25,12 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
 
 
+def _id(prefix: str, width: int, c: Column) -> Column:
+    """``prefix`` + zero-padded integer, never truncated (= printf('%0Nd'))."""
+    t = c.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(t) >= width, t).otherwise(F.lpad(t, width, "0")))
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -41,7 +47,7 @@ def players(spark: SparkSession, base: str) -> DataFrame:
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     signup = F.date_add(F.lit("1995-01-01").cast("date"), (k % 365).cast("int"))
     return j.select(
-        F.format_string("P%05d", k).alias("player_id"),
+        _id("P", 5, k).alias("player_id"),
         F.date_format(signup, "yyyy-MM-dd").alias("signup_date"),
         F.when(k % 11 == 0, F.lit(None).cast("string"))
          .otherwise(F.lower("c_mktsegment")).alias("acquisition_channel"),
@@ -59,8 +65,8 @@ def deposits(spark: SparkSession, base: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
     rows = o.select(
-        F.format_string("D%07d", k).alias("deposit_id"),
-        F.format_string("P%05d", F.col("o_custkey")).alias("player_id"),
+        _id("D", 7, k).alias("deposit_id"),
+        _id("P", 5, F.col("o_custkey")).alias("player_id"),
         _text(F.col("o_orderdate")).alias("deposit_ts"),
         _text(F.col("o_totalprice")).alias("amount"),
         _pick(["BRL", "USD", "EUR"], k).alias("currency"),
@@ -84,8 +90,8 @@ def bets(spark: SparkSession, base: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
     price = F.col("l_extendedprice")
     return j.select(
-        F.format_string("B%07d", F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("bet_id"),
-        F.format_string("P%05d", F.col("o_custkey")).alias("player_id"),
+        _id("B", 7, F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("bet_id"),
+        _id("P", 5, F.col("o_custkey")).alias("player_id"),
         _text(F.col("l_shipdate")).alias("bet_ts"),
         _text(price).alias("stake"),
         _pick(["BRL", "USD", "EUR"], F.col("l_orderkey") + F.col("l_linenumber")).alias("currency"),
@@ -127,7 +133,7 @@ def campaigns(spark: SparkSession, base: str) -> DataFrame:
     return (p.withColumn("o", obj)
              .withColumn("_typo", obj_typo)
              .select(
-                 F.format_string("C%03d", k).alias("campaign_id"),
+                 _id("C", 3, k).alias("campaign_id"),
                  name.alias("campaign_name"),
                  F.date_format(created, "yyyy-MM-dd").alias("created_date"),
                  _pick(["active", "paused", "archived"], k).alias("status"),
@@ -140,9 +146,9 @@ def touchpoints(spark: SparkSession, base: str) -> DataFrame:
     k = F.col("event_id")
     et = F.col("event_type")
     return e.select(
-        F.format_string("T%07d", k).alias("touchpoint_id"),
-        F.format_string("P%05d", F.col("user_id")).alias("player_id"),
-        F.format_string("C%03d", k % 100).alias("campaign_id"),
+        _id("T", 7, k).alias("touchpoint_id"),
+        _id("P", 5, F.col("user_id")).alias("player_id"),
+        _id("C", 3, k % 100).alias("campaign_id"),
         _pick(["email", "push", "sms"], k).alias("channel"),
         _text(F.col("ts")).alias("event_ts"),
         F.when(et == "view", "sent").when(et == "click", "open")
