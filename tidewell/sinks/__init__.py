@@ -1,0 +1,102 @@
+"""Sinks (K1-K10): Parquet/JSON writers, quarantine, DQ report, snapshots, gated publish."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from ..config import ERROR
+
+
+class DataQualityError(RuntimeError):
+    """Raised by the fail-fast gate (K10) when ERROR checks failed."""
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
+                  partition_by: list[str] | None = None) -> dict:
+    """K1: snappy Parquet, idempotent overwrite; returns rows written (observed)."""
+    obs = Observation(f"w{abs(hash(path))}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.option("compression", "snappy").parquet(path)
+    return {"rows": int(obs.get.get("rows", 0)), "path": path}
+
+
+def write_jsonl(df: DataFrame, path: str, mode: str = "append",
+                partition_by: list[str] | None = None) -> None:
+    """K2: JSON lines."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.json(path)
+
+
+def write_quarantine(q: DataFrame, base: str, entity: str, run_id: str, at: str) -> dict:
+    """K3: one folder per (ingest_date, reason) with run columns added."""
+    out = (q.withColumn("_run_id", F.lit(run_id)).withColumn("_quarantined_at", F.lit(at))
+           .withColumn("reason", F.col("_quarantine_reason")))
+    return write_parquet(out, os.path.join(base, "quarantine", entity), "append",
+                         ["ingest_date", "reason"])
+
+
+def write_dq_report(results: DataFrame, base: str, ingest_date: str, run_id: str,
+                    checked_at: str) -> str | None:
+    """K4: DQ rows as JSON lines under ``ingest_date=``; failure never blocks the load."""
+    path = os.path.join(base, "quality", "dq_report")
+    try:
+        cols = [c for c in results.columns if c != "seq"]
+        out = results.select(*cols)
+        if "ingest_date" not in cols:
+            out = out.withColumn("ingest_date", F.lit(ingest_date))
+        out = (out.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.lit(checked_at))
+               .withColumn("details", F.lit("") if "details" not in cols else F.col("details")))
+        write_jsonl(out, path, "append", ["ingest_date"])
+        return path
+    except Exception:  # noqa: BLE001 - observability must not break the load
+        return None
+
+
+def publish_snapshot(df: DataFrame, base: str, snapshot_date: str, run_id: str) -> dict:
+    """K5: immutable dated snapshot, then overwrite the ``current`` pointer."""
+    snap = os.path.join(base, f"snapshot_date={snapshot_date}", f"run_id={run_id}")
+    info = write_parquet(df, snap, "overwrite")
+    written = df.sparkSession.read.parquet(snap)
+    write_parquet(written, os.path.join(base, "current"), "overwrite")
+    return {**info, "snapshot": snap, "current": os.path.join(base, "current")}
+
+
+def publish_all_or_nothing(tables: dict[str, DataFrame], order: list[str], base: str,
+                           checks: DataFrame, fail_on_error: bool = True) -> dict:
+    """K6: write every table in ``order`` (dimensions first) only if no ERROR failed."""
+    n_err = checks.where(~F.col("passed") & (F.col("severity") == ERROR)).count()
+    if n_err and fail_on_error:
+        return {"published": False, "errors": n_err}
+    out = {}
+    for name in order:
+        out[name] = write_parquet(tables[name], os.path.join(base, name), "overwrite")
+    return {"published": True, "errors": n_err, "tables": out}
+
+
+def append_metrics(rows: DataFrame, base: str) -> None:
+    """K8: run metrics as an appendable table (layer, entity, metric, value, run_id, ...)."""
+    write_parquet(rows, os.path.join(base, "ops", "run_metrics"), "append", ["layer"])
+
+
+def summary(checks: DataFrame, limit: int = 20) -> dict:
+    """K9: counts plus the first ``limit`` failed ERROR checks (bounded collect)."""
+    agg = checks.agg(F.count(F.lit(1)).alias("n"),
+                     F.count_if(~F.col("passed") & (F.col("severity") == ERROR)).alias("e"),
+                     F.count_if(~F.col("passed") & (F.col("severity") != ERROR)).alias("w")).first()
+    errs = (checks.where(~F.col("passed") & (F.col("severity") == ERROR))
+            .orderBy("entity", "check", "column").limit(limit).collect())
+    return {"checks_run": agg["n"], "errors": agg["e"], "warnings": agg["w"],
+            "error_details": [r.asDict() for r in errs]}
+
+
+def gate(summary_: dict, fail_on_error: bool = True, what: str = "load") -> None:
+    """Raise when ERROR checks failed."""
+    if fail_on_error and summary_.get("errors"):
+        raise DataQualityError(f"data quality rejected the {what}: {summary_['errors']} ERROR check(s)")
