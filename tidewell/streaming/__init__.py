@@ -1,0 +1,3 @@
+"""No streaming operators: the original system is a scheduled monthly batch
+(no watermark, stream window, stateful or late-data logic). Late and future
+rows are handled in batch by quarantine; stale quotes by FX carry-forward."""
