@@ -139,6 +139,79 @@ REGISTRY: dict[str, Callable[[Lake], DataFrame]] = {
     "ops_latest_checks": lambda lk: ops.latest_checks(_dq(lk)),
 }
 
+
+def _dq_check(check: str) -> Callable[[Lake], DataFrame]:
+    return lambda lk: _dq(lk).where(F.col("check") == check).select(*DQ_COLS)
+
+
+def _gold_checks(lk: Lake) -> DataFrame:
+    from ..config import GOLD_CONTRACTS
+
+    ref = lk.refs.dormancy_ref
+    tagged = {n: t.withColumn("ingest_date", F.lit(ref.isoformat())) for n, t in lk.star.items()}
+    parts = [dq.run_contract(tagged[n], n, c, ref, ["ingest_date"], ratio=False)
+             for n, c in GOLD_CONTRACTS.items()]
+    fk = dq.run_foreign_keys(tagged, GOLD_CONTRACTS, ["ingest_date"], ratio=False)
+    out = parts[0]
+    for p in parts[1:] + [fk]:
+        out = out.unionByName(p)
+    return dq.with_ratio(out).select(*DQ_COLS)
+
+
+def _tax_stage(lk: Lake, stage: str) -> DataFrame:
+    from ..operators import taxonomy as tx
+
+    names = lk.clean("campaigns").select("campaign_name").where(F.col("campaign_name").isNotNull()) \
+        .distinct()
+    vocab = tx.vocabulary(lk.spark)
+    exact = tx.exact_hits(names, vocab)
+    if stage == "exact":
+        return exact.select("campaign_name", "segment", "term")
+    fz = tx.fuzzy_hits(names, vocab).join(exact, ["campaign_name", "segment"], "left_anti")
+    return fz.select("campaign_name", "segment", "term")
+
+
+def _tax_tokens(lk: Lake) -> DataFrame:
+    from ..operators import taxonomy as tx
+
+    names = lk.clean("campaigns").select("campaign_name").where(F.col("campaign_name").isNotNull()) \
+        .distinct()
+    t = tx.tokens()
+    return names.select("campaign_name", F.array_join(t, "|").alias("tokens"),
+                        F.size(t).cast("int").alias("n_tokens"))
+
+
+def _quarantine_rows(entity: str) -> Callable[[Lake], DataFrame]:
+    return lambda lk: lk.quarantine(entity).select(
+        *BRONZE_CONTRACTS[entity].columns, "ingest_date", sv.REASON)
+
+
+def _fx_carried(lk: Lake) -> DataFrame:
+    return lk.fx.groupBy("from_currency").agg(
+        F.count_if("is_carried_forward").alias("carried"), F.count(F.lit(1)).alias("days"))
+
+
+EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
+    "fx_cross_rate": lambda lk: lk.fx.where(F.col("from_currency") != "BRL"),
+    "fx_identity": lambda lk: lk.fx.where(F.col("from_currency") == "BRL"),
+    "fx_carried_forward": _fx_carried,
+    **{f"dq_{c}": _dq_check(c) for c in (
+        "schema_contract", "row_count_not_zero", "row_count_drift", "primary_key_conflict",
+        "primary_key_unique", "duplicate_event", "not_blank", "accepted_values",
+        "timestamp_parseable", "not_future_dated", "numeric_parseable", "numeric_range",
+        "value_ceiling", "id_pattern", "no_surrounding_whitespace", "referential_integrity")},
+    "dq_gold_checks": _gold_checks,
+    "tax_tokens": _tax_tokens,
+    "tax_exact": lambda lk: _tax_stage(lk, "exact"),
+    "tax_fuzzy": lambda lk: _tax_stage(lk, "fuzzy"),
+    "quarantine_bets": _quarantine_rows("bets"),
+    "quarantine_deposits": _quarantine_rows("deposits"),
+    "ops_run_metrics": lambda lk: ops.run_metrics(_dq(lk)),
+    "ops_latest_metrics": lambda lk: ops.latest_metrics(_dq(lk)),
+}
+REGISTRY.update(EXTRA)
+
+
 NO_ORACLE: set[str] = set()
 
 

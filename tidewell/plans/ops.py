@@ -62,3 +62,8 @@ def latest_checks(report: DataFrame, k: int = 30) -> DataFrame:
             .orderBy(F.col("checked_at").desc(), F.col("failed_records").desc(),
                      "entity", "check", "column")
             .limit(k).select("checked_at", *DQ_COLS))
+
+
+def latest_metrics(report: DataFrame, k: int = 30) -> DataFrame:
+    """O5 re-aimed: the latest per-entity metric rows (top-k is the feature)."""
+    return run_metrics(report).orderBy(F.col("ts").desc(), "entity", "metric").limit(k)

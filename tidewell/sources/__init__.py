@@ -20,6 +20,22 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-spread a scan that has fewer input splits than the cluster has cores.
+
+    A big table arrives in many splits and is returned untouched (no extra
+    shuffle); a table stored as one file/row group would otherwise run all of
+    its per-row work in a single task. Hashing on the table key is
+    deterministic (no pre-sort as round-robin needs). Counting splits plans the
+    scan but runs no job.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, F.col(key or df.columns[0]))
+    return df
+
+
 def read_bronze_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
                     ingest_date: str | None = None, infer: bool = False) -> DataFrame:
     """Raw CSV scan.

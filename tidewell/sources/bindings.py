@@ -18,7 +18,12 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import read_table
+from . import read_table as _read_table
+from . import spread
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return spread(_read_table(spark, base, name))
 
 
 def _pick(values: list[str], idx: Column) -> Column:
