@@ -66,15 +66,18 @@ def future_reason(contract: Contract, ref: _dt.date) -> F.Column:
 
 
 def split(df: DataFrame, contract: Contract, ref: _dt.date,
-          extra_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+          extra_cols: list[str] | None = None,
+          groups: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(clean, quarantine). First matching reason wins: ``duplicate_row`` for
     every copy beyond the first, then ``future_dated__{col}`` for survivors.
 
     ``clean`` keeps the bronze columns; ``quarantine`` adds ``_quarantine_reason``.
-    Conflicting keys are never resolved here (that is a DQ ERROR).
+    Conflicting keys are never resolved here (that is a DQ ERROR). ``groups``
+    may pass the precomputed ``collapse`` so DQ and the split share one shuffle.
     """
     cols = list(contract.columns) + [c for c in (extra_cols or []) if c in df.columns]
-    groups = collapse(df, cols).withColumn("_future", future_reason(contract, ref))
+    groups = (groups if groups is not None else collapse(df, cols)) \
+        .withColumn("_future", future_reason(contract, ref))
     survivors = groups.drop(COPIES)
     clean = survivors.where(F.col("_future").isNull()).drop("_future")
     future_q = survivors.where(F.col("_future").isNotNull()).withColumnRenamed("_future", REASON)

@@ -64,12 +64,22 @@ class Lake:
         return out
 
     # ----------------------------------------------------------------- silver
+    @cached_property
+    def distinct_rows(self) -> dict[str, DataFrame]:
+        """Per entity: distinct bronze rows (+ ingest_date) with their multiplicity.
+
+        The one shuffle of each bronze entity; DQ rules, key checks, FK checks and
+        the quarantine split all read it (same plan, so the exchange is reused).
+        """
+        return {e: sv.collapse(df, BRONZE_CONTRACTS[e].columns + ["ingest_date"])
+                for e, df in self.bronze.items()}
+
     @cached_property
     def split(self) -> dict[str, tuple[DataFrame, DataFrame]]:
         out = {}
         for e, df in self.bronze.items():
             out[e] = sv.split(df, BRONZE_CONTRACTS[e], self.refs.quarantine[e],
-                              extra_cols=["ingest_date"])
+                              extra_cols=["ingest_date"], groups=self.distinct_rows[e])
         return out
 
     def clean(self, entity: str) -> DataFrame:
@@ -116,13 +126,20 @@ class Lake:
         """Contract battery per entity (and per load) plus referential integrity."""
         group_cols = list(group_cols or [])
         parts = []
+        shared = group_cols == ["ingest_date"]
         for e, df in self.bronze.items():
             data = df.select(*BRONZE_CONTRACTS[e].columns, *group_cols)
             parts.append(dq.run_contract(data, e, BRONZE_CONTRACTS[e],
-                                         self.refs.quarantine[e], group_cols, ratio=False))
-        frames = {e: df.select(*BRONZE_CONTRACTS[e].columns, *group_cols)
-                  for e, df in self.bronze.items()}
-        fk = dq.run_foreign_keys(frames, BRONZE_CONTRACTS, group_cols, ratio=False)
+                                         self.refs.quarantine[e], group_cols, ratio=False,
+                                         distinct_rows=self.distinct_rows[e] if shared else None))
+        if shared:
+            frames, weight = self.distinct_rows, "_copies"
+        else:
+            frames = {e: df.select(*BRONZE_CONTRACTS[e].columns, *group_cols)
+                      for e, df in self.bronze.items()}
+            weight = None
+        fk = dq.run_foreign_keys(frames, BRONZE_CONTRACTS, group_cols, ratio=False,
+                                 weight_col=weight)
         if fk is not None:
             parts.append(fk)
         out = parts[0]

@@ -69,7 +69,10 @@ def deposits(spark: SparkSession, base: str) -> DataFrame:
     o = read_table(spark, base, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
-    rows = o.select(
+    # every 50th order is re-sent: a byte-identical second copy, generated in the same scan
+    o = o.withColumn("_copy", F.explode(F.when(k % 50 == 0, F.array(F.lit(1), F.lit(2)))
+                                        .otherwise(F.array(F.lit(1)))))
+    return o.select(
         _id("D", 7, k).alias("deposit_id"),
         _id("P", 5, F.col("o_custkey")).alias("player_id"),
         _text(F.col("o_orderdate")).alias("deposit_ts"),
@@ -80,11 +83,7 @@ def deposits(spark: SparkSession, base: str) -> DataFrame:
          .when(F.col("o_orderstatus") == "P", "failed")
          .otherwise(F.col("o_orderstatus")).alias("status"),
         _year_start(F.col("o_orderdate")).alias("ingest_date"),
-        (k % 50 == 0).alias("_resent"),
     )
-    # re-sent rows: byte-identical second copies of every 50th order
-    resent = rows.where("_resent")
-    return rows.unionByName(resent).drop("_resent")
 
 
 def bets(spark: SparkSession, base: str) -> DataFrame:
