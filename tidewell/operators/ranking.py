@@ -22,8 +22,11 @@ LOW_BITS = 33
 
 
 def global_row_number(df: DataFrame, order_cols: list[Column | str], out: str = "rn",
-                      partitions: int | None = None) -> DataFrame:
-    """1-based global row number by ``order_cols`` (must be a total order)."""
+                      partitions: int | None = None, with_total: str | None = None) -> DataFrame:
+    """1-based global row number by ``order_cols`` (must be a total order).
+
+    ``with_total`` adds the row count N as a column (sum of the per-partition counts).
+    """
     spark = df.sparkSession
     from ..session import shared_dir
 
@@ -36,23 +39,24 @@ def global_row_number(df: DataFrame, order_cols: list[Column | str], out: str =
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     # one row per partition: the running sum is over a bounded, tiny table
     offsets = counts.select("_pid", (F.sum("_c").over(Window.orderBy("_pid")) - F.col("_c")).alias("_off"))
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + F.col("_local") + 1)
-            .drop("_pid", "_local", "_off"))
+    out_df = (numbered.join(F.broadcast(offsets), "_pid")  # offsets: one row per partition
+              .withColumn(out, F.col("_off") + F.col("_local") + 1)
+              .drop("_pid", "_local", "_off"))
+    if with_total:
+        out_df = out_df.withColumn(with_total, counts.agg(F.sum("_c")).scalar())
+    return out_df
 
 
 def ntile(df: DataFrame, n: int, order_cols: list[Column | str], out: str = "tile",
           partitions: int | None = None) -> DataFrame:
     """Distributed ``ntile(n) OVER (ORDER BY order_cols)``."""
-    ranked = global_row_number(df, order_cols, "_rn", partitions)
-    total = ranked.agg(F.count(F.lit(1))).scalar()  # scalar subquery, one value
+    ranked = global_row_number(df, order_cols, "_rn", partitions, with_total="_n")
     q = F.floor(F.col("_n") / n)
     r = F.col("_n") % n
     big = r * (q + 1)
     tile = F.when(F.col("_rn") <= big, F.floor((F.col("_rn") - 1) / (q + 1)) + 1) \
         .otherwise(r + F.floor((F.col("_rn") - big - 1) / q) + 1)
-    return (ranked.withColumn("_n", total)
-            .withColumn(out, tile.cast("int")).drop("_rn", "_n"))
+    return ranked.withColumn(out, tile.cast("int")).drop("_rn", "_n")
 
 
 def top1(df: DataFrame, group_cols: list[str], value_col: str, order: Column) -> DataFrame:
