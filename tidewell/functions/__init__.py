@@ -18,7 +18,7 @@ def col_(c: str | Column) -> Column:
 def is_blank(c: str | Column) -> Column:
     """Null, or no non-whitespace character (tabs and Unicode blanks included)."""
     c = col_(c)
-    return c.isNull() | ~c.rlike(r"(?U)\S")
+    return c.isNull() | ~c.rlike(r"\P{IsWhite_Space}")
 
 
 def na_to_null(c: str | Column) -> Column:
@@ -29,7 +29,7 @@ def na_to_null(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Trim leading/trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(col_(c), r"^(?U)\s+|(?U)\s+$", "")
+    return F.regexp_replace(col_(c), r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
 
 
 def full_match(c: str | Column, rx: str) -> Column:
