@@ -18,14 +18,16 @@ def run_verdict(report: DataFrame) -> DataFrame:
     return report.groupBy("ingest_date", "run_id").agg(
         F.count(F.lit(1)).alias("checks_rodados"),
         F.count_if(~F.col("passed") & (F.col("severity") == ERROR)).alias("reprovou_error"),
-        F.count_if(~F.col("passed") & (F.col("severity") == WARN)).alias("reprovou_warn"))
+        F.count_if(~F.col("passed") & (F.col("severity") == WARN)).alias("reprovou_warn")) \
+        .orderBy(F.col("ingest_date").desc(), "run_id")
 
 
 def trend(report: DataFrame) -> DataFrame:
     """Affected checks with their percentage, per load."""
     r = report.where(F.col("failed_records") > 0)
     r = with_half_up(r, "pct", F.col("failed_records") * 100, F.col("total_records"), 2)
-    return r.select("ingest_date", "entity", "column", "check", "failed_records", "pct")
+    return r.select("ingest_date", "entity", "column", "check", "failed_records", "pct") \
+        .orderBy("entity", "column", "ingest_date", "check")
 
 
 def verdict_changes(report: DataFrame) -> DataFrame:
@@ -38,7 +40,8 @@ def verdict_changes(report: DataFrame) -> DataFrame:
     h = report.select("entity", "column", "check", "ingest_date", "passed", "failed_records",
                       F.lag("passed").over(w).alias("passed_anterior"),
                       F.lag("failed_records").over(w).alias("registros_anterior"))
-    return h.where(F.col("passed_anterior").isNotNull() & (F.col("passed") != F.col("passed_anterior")))
+    return (h.where(F.col("passed_anterior").isNotNull() & (F.col("passed") != F.col("passed_anterior")))
+            .orderBy(F.col("ingest_date").desc(), "entity", "column", "check"))
 
 
 def run_metrics(report: DataFrame, layer: str = "silver") -> DataFrame:

@@ -25,7 +25,7 @@ def volume_sanity(s: dict[str, DataFrame]) -> DataFrame:
     for label, key in names:
         part = s[key].select(F.lit(label).alias("entidade"))
         u = part if u is None else u.unionByName(part)
-    return u.groupBy("entidade").agg(F.count(F.lit(1)).alias("linhas"))
+    return u.groupBy("entidade").agg(F.count(F.lit(1)).alias("linhas")).orderBy("entidade")
 
 
 def rows_without_rate(s: dict[str, DataFrame]) -> DataFrame:
@@ -45,7 +45,8 @@ def deposits_by_currency(s: dict[str, DataFrame]) -> DataFrame:
     return (s["deposits"].where(F.col("is_confirmed")).groupBy("currency")
             .agg(F.count(F.lit(1)).alias("depositos"),
                  _money(F.sum(_dec("amount"))).alias("total_moeda_original"),
-                 _money(F.sum(_dec("amount_brl"))).alias("total_brl")))
+                 _money(F.sum(_dec("amount_brl"))).alias("total_brl"))
+            .orderBy(F.col("total_brl").desc(), "currency"))
 
 
 def ltv_by_channel(s: dict[str, DataFrame]) -> DataFrame:
@@ -61,8 +62,9 @@ def ltv_by_channel(s: dict[str, DataFrame]) -> DataFrame:
     g = j.groupBy("acquisition_channel").agg(F.countDistinct("player_id").alias("jogadores"),
                                              F.sum("dep").alias("sm"))
     g = with_half_up(g, "por_jogador", cents("sm"), F.col("jogadores"), 2, 2)
-    return g.select("acquisition_channel", "jogadores", _money(F.col("sm")).alias("depositado_brl"),
-                    "por_jogador")
+    return (g.select("acquisition_channel", "jogadores", _money(F.col("sm")).alias("depositado_brl"),
+                     "por_jogador")
+            .orderBy(F.col("depositado_brl").desc(), "acquisition_channel"))
 
 
 def product_result(s: dict[str, DataFrame]) -> DataFrame:
@@ -72,15 +74,18 @@ def product_result(s: dict[str, DataFrame]) -> DataFrame:
                                          F.sum(_dec("payout_brl")).alias("po"))
     res = F.col("st") - F.col("po")
     g = with_half_up(g, "retencao_pct", (cents("st") - cents("po")) * 100, cents("st"), 2)
-    return g.select("product", "apostas", _money(F.col("st")).alias("apostado_brl"),
-                    _money(F.col("po")).alias("pago_brl"), _money(res).alias("resultado_brl"),
-                    "retencao_pct")
+    return (g.select("product", "apostas", _money(F.col("st")).alias("apostado_brl"),
+                     _money(F.col("po")).alias("pago_brl"), _money(res).alias("resultado_brl"),
+                     "retencao_pct")
+            .orderBy("resultado_brl", "product"))
 
 
 def compliance_counts(s: dict[str, DataFrame]) -> DataFrame:
     """D29f: who may not be targeted."""
     return (s["players"].groupBy("is_targetable", "self_excluded", "kyc_status")
-            .agg(F.count(F.lit(1)).alias("jogadores")))
+            .agg(F.count(F.lit(1)).alias("jogadores"))
+            .orderBy(F.col("is_targetable").asc_nulls_last(), F.col("jogadores").desc(),
+                     "self_excluded", "kyc_status"))
 
 
 def silver_conformance(s: dict[str, DataFrame]) -> DataFrame:
@@ -91,7 +96,7 @@ def silver_conformance(s: dict[str, DataFrame]) -> DataFrame:
                     (F.col("campaign_name") == F.col("campaign_name_std")).alias("conforme"),
                     (F.lit(7) - F.size(F.filter(F.array(*[F.col(x) for x in segs]),
                                                 lambda x: x == UNKNOWN))).cast("int")
-                    .alias("segmentos_resolvidos"))
+                    .alias("segmentos_resolvidos")).orderBy("segmentos_resolvidos", "campaign_id")
 
 
 def channel_offer_fanout(s: dict[str, DataFrame]) -> DataFrame:
@@ -113,5 +118,6 @@ def channel_offer_fanout(s: dict[str, DataFrame]) -> DataFrame:
     g = j.groupBy("acquisition_channel", "offer", "product").agg(
         F.countDistinct("player_id").alias("jogadores"),
         F.sum(F.col("dep") * F.col("n_clicks")).alias("sm"))
-    return g.select("acquisition_channel", "offer", "product", "jogadores",
-                    _money(F.col("sm")).alias("depositado_brl"))
+    return (g.select("acquisition_channel", "offer", "product", "jogadores",
+                     _money(F.col("sm")).alias("depositado_brl"))
+            .orderBy(F.col("depositado_brl").desc(), "acquisition_channel", "offer", "product"))
