@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BRONZE_CONTRACTS, ERROR, UNKNOWN
+from ..config import BRONZE_CONTRACTS
 from ..operators import dq, fx, silver as sv
 from . import marts, ops, silver_queries as sq
 from .lake import Lake

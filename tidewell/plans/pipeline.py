@@ -76,19 +76,28 @@ def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: st
                refs: References, ingest_date: str | None, run_id: str,
                entities: list[str] | None = None, fail_on_error: bool = True) -> dict:
     """Silver job: bronze CSV -> DQ -> quarantine -> typed, converted Parquet."""
+    from pyspark import StorageLevel
+
     fx_table = spark.read.parquet(fx_path)
     frames, failures = sources.read_entities(spark, bronze_root, ingest_date, entities)
     groups = ["ingest_date"]
-    checks = [dq.run_contract(df, e, BRONZE_CONTRACTS[e], refs.quarantine[e], groups)
+    # distinct rows + multiplicity: the one shuffle of each entity, read by the DQ
+    # battery, the FK checks, the clean write and the quarantine write of this job;
+    # kept (memory, spilling to disk) only for the job's lifetime
+    distinct = {e: sv.collapse(df, BRONZE_CONTRACTS[e].columns + groups)
+                .persist(StorageLevel.MEMORY_AND_DISK) for e, df in frames.items()}
+    checks = [dq.run_contract(df, e, BRONZE_CONTRACTS[e], refs.quarantine[e], groups,
+                              distinct_rows=distinct[e])
               for e, df in frames.items()]
-    fk = dq.run_foreign_keys(frames, BRONZE_CONTRACTS, groups)
+    fk = dq.run_foreign_keys(distinct, BRONZE_CONTRACTS, groups, weight_col="_copies")
     if fk is not None:
         checks.append(fk)
     results = {}
     at = f"{ingest_date or 'all'}T00:00:00+00:00"
     for e, df in frames.items():
         contract = BRONZE_CONTRACTS[e]
-        clean, quarantine = sv.split(df, contract, refs.quarantine[e], extra_cols=["ingest_date"])
+        clean, quarantine = sv.split(df, contract, refs.quarantine[e], extra_cols=["ingest_date"],
+                                     groups=distinct[e])
         q_info = sinks.write_quarantine(quarantine, out_base, e, run_id, at)
         spec = sv.TRANSFORMS.get(e, {})
         typed = sv.cast(clean.select(*contract.columns), spec)
@@ -101,7 +110,7 @@ def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: st
             typed = taxonomy.parse(typed, spark)
         typed = sv.derive_flags(e, typed).select(*SILVER_COLUMNS[e])
         w = sinks.write_parquet(typed, os.path.join(out_base, "silver", e), "overwrite")
-        rows_in = df.count()
+        rows_in = int(distinct[e].agg(F.sum("_copies")).first()[0] or 0)
         rec = dq.expect(spark, e, "reconciliation", None, "ERROR",
                         rows_in == w["rows"] + q_info["rows"], abs(rows_in - w["rows"] - q_info["rows"]),
                         rows_in).withColumn("ingest_date", F.lit(ingest_date))
@@ -116,6 +125,8 @@ def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: st
         F.lit("silver").alias("layer"), "entity", "metric", "value", F.lit(run_id).alias("run_id"),
         F.lit(ingest_date).alias("ingest_date"))
     sinks.append_metrics(metrics, out_base)
+    for d in distinct.values():
+        d.unpersist()
     out = {"run_id": run_id, "results": results, "failures": failures, "dq": summ}
     if failures:
         raise RuntimeError(f"{len(failures)} entity(ies) failed: {failures}")
