@@ -76,8 +76,13 @@ def split(df: DataFrame, contract: Contract, ref: _dt.date,
     may pass the precomputed ``collapse`` so DQ and the split share one shuffle.
     """
     cols = list(contract.columns) + [c for c in (extra_cols or []) if c in df.columns]
-    groups = (groups if groups is not None else collapse(df, cols)) \
-        .withColumn("_future", future_reason(contract, ref))
+    if groups is None:
+        # the reason is an aggregate output here, so filters on it stay above the
+        # dedup and clean / duplicate / future branches share one exchange
+        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COPIES),
+                                       F.max(future_reason(contract, ref)).alias("_future"))
+    else:
+        groups = groups.withColumn("_future", future_reason(contract, ref))
     survivors = groups.drop(COPIES)
     clean = survivors.where(F.col("_future").isNull()).drop("_future")
     future_q = survivors.where(F.col("_future").isNotNull()).withColumnRenamed("_future", REASON)
