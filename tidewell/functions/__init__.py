@@ -15,10 +15,32 @@ def col_(c: str | Column) -> Column:
 
 
 # --------------------------------------------------------------------------- text
+# The Unicode White_Space characters, i.e. exactly what the regex
+# class \p{IsWhite_Space} matches (U+0009-U+000D, U+0020, U+0085, U+00A0, U+1680,
+# U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000).
+WHITESPACE_CHARS = (["\t", "\n", "\x0b", "\x0c", "\r", " ", "\x85", "\xa0", "\u1680"]
+                    + [chr(cp) for cp in range(0x2000, 0x200B)]
+                    + ["\u2028", "\u2029", "\u202f", "\u205f", "\u3000"])
+
+
+def _ws(ch: Column) -> Column:
+    return ch.isin(WHITESPACE_CHARS)
+
+
+def edge_ws(c: str | Column) -> Column:
+    """First or last character is whitespace (= the value differs from its strip)."""
+    c = col_(c)
+    return _ws(F.substring(c, 1, 1)) | _ws(F.substring(c, -1, 1))
+
+
 def is_blank(c: str | Column) -> Column:
-    """Null, or no non-whitespace character (tabs and Unicode blanks included)."""
+    """Null, or no non-whitespace character (tabs and Unicode blanks included).
+
+    A non-empty value whose first character is not whitespace is decided
+    without the regex (the common case)."""
     c = col_(c)
-    return c.isNull() | ~c.rlike(r"\P{IsWhite_Space}")
+    return (c.isNull() | (c.cast("string") == "")
+            | (_ws(F.substring(c, 1, 1)) & ~c.rlike(r"\P{IsWhite_Space}")))
 
 
 def na_to_null(c: str | Column) -> Column:
@@ -28,8 +50,12 @@ def na_to_null(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Trim leading/trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(col_(c), r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
+    """Trim leading/trailing whitespace of any kind (not only spaces).
+
+    The regex only runs for values with whitespace at an edge."""
+    c = col_(c)
+    return F.when(edge_ws(c), F.regexp_replace(c, r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
+                  ).otherwise(c)
 
 
 def full_match(c: str | Column, rx: str) -> Column:
