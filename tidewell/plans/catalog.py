@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BRONZE_CONTRACTS
+from ..config import BRONZE_CONTRACTS, FX_CONTRACT
 from ..operators import dq, fx, silver as sv
 from . import marts, ops, silver_queries as sq
 from .lake import Lake
@@ -158,6 +158,15 @@ def _gold_checks(lk: Lake) -> DataFrame:
     return dq.with_ratio(out).select(*DQ_COLS)
 
 
+def _fx_checks(lk: Lake) -> DataFrame:
+    """FX contract battery on the dense table (blanks, domains, rate positive and
+    within the floor/ceiling band, one row per day and pair), tagged with the
+    run's end day. The dense table is bounded by days x pairs."""
+    tagged = lk.fx.withColumn("ingest_date", F.lit(lk.fx_end.isoformat()))
+    out = dq.run_contract(tagged, "fx_rates", FX_CONTRACT, None, ["ingest_date"], ratio=False)
+    return dq.with_ratio(out).select(*DQ_COLS)
+
+
 def _tax_stage(lk: Lake, stage: str) -> DataFrame:
     from ..operators import taxonomy as tx
 
@@ -201,6 +210,8 @@ EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
         "timestamp_parseable", "not_future_dated", "numeric_parseable", "numeric_range",
         "value_ceiling", "id_pattern", "no_surrounding_whitespace", "referential_integrity")},
     "dq_gold_checks": _gold_checks,
+    "dq_fx_checks": _fx_checks,
+    "dq_value_floor": lambda lk: _fx_checks(lk).where(F.col("check") == "value_floor"),
     "tax_tokens": _tax_tokens,
     "tax_exact": lambda lk: _tax_stage(lk, "exact"),
     "tax_fuzzy": lambda lk: _tax_stage(lk, "fuzzy"),
