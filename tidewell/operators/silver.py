@@ -54,17 +54,30 @@ def expand_copies(groups: DataFrame, n_col: str, chunk: int = EXPAND_CHUNK) -> D
     return g.drop("_chunk", "_i", n_col)
 
 
-def future_reason(contract: Contract, ref: _dt.date) -> F.Column:
-    """First future-dated column in contract order, else null."""
+def future_code(contract: Contract, ref: _dt.date) -> F.Column:
+    """1-based position (contract order) of the first future-dated column, else null."""
     ref_ts = ts_lit(ref)
     expr = None
-    for c in contract.dates:
+    for i, c in enumerate(contract.dates, start=1):
         cond = F.coalesce(to_ts(F.col(c)) > ref_ts, F.lit(False))
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr if expr is not None else F.lit(None).cast("int")
+
+
+def future_label(contract: Contract, code: F.Column) -> F.Column:
+    """``future_dated__{col}`` for a :func:`future_code`, null for null."""
+    expr = None
+    for i, c in enumerate(contract.dates, start=1):
         label = F.lit(f"future_dated__{c}")
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
+        expr = F.when(code == i, label) if expr is None else expr.when(code == i, label)
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def future_reason(contract: Contract, ref: _dt.date) -> F.Column:
+    """First future-dated column in contract order, else null."""
+    return future_label(contract, future_code(contract, ref))
+
+
 def split(df: DataFrame, contract: Contract, ref: _dt.date,
           extra_cols: list[str] | None = None,
           groups: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -77,10 +90,14 @@ def split(df: DataFrame, contract: Contract, ref: _dt.date,
     """
     cols = list(contract.columns) + [c for c in (extra_cols or []) if c in df.columns]
     if groups is None:
-        # the reason is an aggregate output here, so filters on it stay above the
-        # dedup and clean / duplicate / future branches share one exchange
-        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COPIES),
-                                       F.max(future_reason(contract, ref)).alias("_future"))
+        # the reason is derived from an aggregate output, so filters on it stay above
+        # the dedup and clean / duplicate / future branches share one exchange. The
+        # aggregated value is an int code (fixed-width buffer: hash aggregation with
+        # map-side combine; a string max would force a sort-based aggregate).
+        groups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COPIES),
+                                        F.max(future_code(contract, ref)).alias("_future_code"))
+                  .withColumn("_future", future_label(contract, F.col("_future_code")))
+                  .drop("_future_code"))
     else:
         groups = groups.withColumn("_future", future_reason(contract, ref))
     survivors = groups.drop(COPIES)
