@@ -45,7 +45,7 @@ from tidewell.llm.common import attach, materialise
 LENGTH = 200
 ANCHOR = 64
 #: Contexts of one anchor that may meet in a bucket.
-HOT = 1000
+HOT = 4000
 BUCKET_BYTES = 1 << 20
 CHUNK_BITS = 20
 
@@ -262,11 +262,12 @@ def _string_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     digest = xxhash.xxh3_128_intdigest
     for b in batches:
         rows = []
-        for k1, k2, at, raw in zip(b["k1"], b["k2"], b["start"], b["bytes"]):
+        for k1, k2, at, single, raw in zip(b["k1"], b["k2"], b["start"], b["single"], b["bytes"]):
             for o in range(len(raw) - LENGTH + 1):
                 d = digest(raw[o:o + LENGTH])
-                rows.append((k1, k2, at + o, (d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63)))
-        yield pd.DataFrame(rows, columns=["k1", "k2", "start", "hi", "lo"]).astype("int64")
+                rows.append((k1, k2, at + o, bool(single), (d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63)))
+        yield pd.DataFrame(rows, columns=["k1", "k2", "start", "single", "hi", "lo"]).astype(
+            {"k1": "int64", "k2": "int64", "start": "int64", "single": bool, "hi": "int64", "lo": "int64"})
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -299,10 +300,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     spans = whole.unionByName(near)
     hot = cut.where(F.col("kinds") > HOT)
     if not hot.isEmpty():
-        strings = materialise(hot.select("k1", "k2", "start", "bytes").mapInPandas(
-            _string_hashes, "k1 long, k2 long, start long, hi long, lo long"), "suffix-strings")
+        strings = materialise(hot.select("k1", "k2", "start", "single", "bytes").mapInPandas(
+            _string_hashes, "k1 long, k2 long, start long, single boolean, hi long, lo long"), "suffix-strings")
         twice = strings.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        spans = spans.unionByName(strings.join(twice, ["hi", "lo"]).select(
+        spans = spans.unionByName(strings.where("single").join(twice, ["hi", "lo"]).select(
             "k1", "k2", "start", (F.col("start") + LENGTH).alias("stop")))
     return spans
 
