@@ -81,16 +81,21 @@ def test_exponent_meets_its_targets(spark):
 @pytest.mark.parametrize("which,budget", [("documents", None), ("documents", 50_000), ("odd", None), ("odd", 9_000)])
 def test_mix_is_the_longest_run_within_each_quota(spark, which, budget, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 4)
-    docs = getattr(fixtures, which)(spark).where("text is null or length(text) < 20000")
+    docs = getattr(fixtures, which)(spark).where(
+        "(text is null or length(text) < 20000) and (source is null or source in ('a', 'b', 'c', 'src0', 'src1', 'src2'))")
     target = mixing.Target(max_repeats=2.0 if budget is None else 50.0, budget=budget)
-    per = {None if r["none__"] else r["src__"]: r for r in mixing.plan(docs, target).collect()}
+    table = mixing.plan(docs, target)
+    per = {None if r["none__"] else r["src__"]: r for r in table.collect()}
     given = defaultdict(Counter)
     for r in mixing.mix(docs, target).select("row.source", "row.doc_id", "row.text", "epoch").collect():
         given[r["source"]][r["epoch"], r["doc_id"], r["text"]] += 1
-    place = mixing._place(mixing._row_hash(F.col("doc_id"), F.col("text")), F.col("e"), F.col("b"), mixing.SEED)
+    slim = docs.select("doc_id", "text", "source", mixing.n_tokens("text").alias("t"),
+                       mixing._row_hash(F.col("doc_id"), F.col("text")).alias("h"))
+    place = mixing._place(F.col("h"), F.col("epochs"), F.col("blocks"), mixing.SEED)
+    rows = slim.join(table.select(F.when(~F.col("none__"), F.col("src__")).alias("s"), "epochs", "blocks"),
+                     F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "text", "source", "t", *place).collect()
     for source, r in per.items():
-        mine = docs.where(F.col("source").eqNullSafe(F.lit(source))).withColumn("e", F.lit(r["epochs"]).cast("long")).withColumn(
-            "b", F.lit(r["blocks"]).cast("long")).select("doc_id", "text", mixing.n_tokens("text").alias("t"), *place).collect()
+        mine = [x for x in rows if x["source"] == source]
         want, spent = Counter(), 0
         for x in mine:
             for e in range(r["epochs"] if x["t"] else 1):
@@ -106,7 +111,7 @@ def test_mix_is_the_longest_run_within_each_quota(spark, which, budget, monkeypa
                 want[r["epochs"], x["doc_id"], x["text"]] += 1
             at += len(tie)
         assert given[source] == want
-        assert abs(r["quota"] / r["tokens"] - 1) < 1e-6 or r["quota"] > r["tokens"] or budget
+        assert budget or r["quota"] >= r["tokens"]
     if budget is None:
         out = mixing.remix(docs, target)
         assert out.columns == docs.columns and out.distinct().count() == docs.distinct().count()
@@ -277,10 +282,10 @@ def plain_top(vectors, queries, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("size,same", [(64, 0), (20, 60), (100, 10)])
+@pytest.mark.parametrize("size,same", [(20, 60), (70, 10)])
 def test_top_k_matches_a_scan(spark, size, same):
     rng = np.random.default_rng(size)
-    rows = [(i, rng.normal(size=size).astype(float).tolist()) for i in range(260)]
+    rows = [(i, rng.normal(size=size).astype(float).tolist()) for i in range(120)]
     rows += [(300 + i, rows[0][1]) for i in range(same)] + [(900, None), (901, rows[3][1]), (901, rows[3][1]), (902, [None, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("n", F.lit(1)).withColumn("qid", F.lit(2))
     asked = df.where("vec_id % 20 = 0")

@@ -1,7 +1,7 @@
 """Operator 2: mixing sources to target weights by temperature.
 
 A source's share p of all tokens becomes the weight p^t / sum p^t. The exponent
-t in [0, 1] is bisected (32 candidates a pass, each pass one aggregate over the
+t in [0, 1] is bisected (8 candidates a pass, each pass one aggregate over the
 per-source table, so nothing grows with the number of sources on the driver):
 the largest t whose entropy reaches ``min_entropy``, and the smallest t under
 which no source is repeated more than ``max_repeats`` times. The budget in
@@ -32,8 +32,8 @@ from tidewell.llm.common import SPACE_CLASS, attach, materialise
 SEED = 20
 BLOCK = 4096
 MAX_REPEATS = 2.0
-FAN = 32
-PASSES = 6
+FAN = 8
+PASSES = 10
 
 
 @dataclass(frozen=True)
