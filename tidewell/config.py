@@ -48,7 +48,7 @@ FX_LOOKBACK_DAYS = 10
 FX_RATE_FLOOR, FX_RATE_CEILING = 0.5, 20.0
 FX_ROUND = 8
 FX_JUMP_LIMIT = 0.10
-FX_RATE_SOURCE = "ecb_reference"
+FX_RATE_SOURCE = "frankfurter_ecb"
 
 # Marts.
 DORMANCY_DAYS = 30
