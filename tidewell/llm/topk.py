@@ -102,11 +102,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
             F.broadcast(masks), "seg").select("qid", *q_cols, "seg", F.col("at").bitwiseXOR(F.col("mask")).alias("val"))
         met = probes.join(index, ["seg", "val"])
         # Met first here: no segment before this one within r bits, none after it within r - 1.
-        fresh = F.lit(True)
+        # One sum, not a chain of conjuncts, which the optimizer would infer constraints from.
+        earlier = F.lit(0)
         for i, s in enumerate(segs):
             d = _flipped(s)
-            fresh = fresh & F.when(F.col("seg") > i, d > r).when(F.col("seg") < i, d >= r).otherwise(F.lit(True))
-        found = met.where(fresh).select("qid", "cid", "n", distance.alias("dist"))
+            earlier = earlier + F.when(F.col("seg") > i, d <= r).when(F.col("seg") < i, d < r).otherwise(
+                F.lit(False)).cast("int")
+        found = met.where(earlier == 0).select("qid", "cid", "n", distance.alias("dist"))
         if best is not None:
             found = found.unionByName(best)
         best = materialise(found.withColumn("place", nearest).where(F.col("place") <= k).drop("place"), "topk-best")
