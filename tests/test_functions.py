@@ -55,3 +55,21 @@ def test_simple_id_pattern_equals_regex(spark):
                      F.expr("s RLIKE _rx").alias("rx")).collect()
     assert all(r.fast == r.rx for r in rows)
     assert sum(r.rx for r in rows) > 10
+
+
+def test_zones_and_number_suffixes(spark):
+    from tidewell.functions import to_date, to_number, to_ts
+    from tidewell.operators.dq import _num_sql, _ts_sql
+
+    texts = {"2024-03-01 10:00:00+02:00": "2024-03-01 08:00:00", "2024-03-01T10:00:00Z": "2024-03-01 10:00:00",
+             "2024-03-01T01:00:00+02:00": "2024-02-29 23:00:00", "2024-03-01 10:00:00": "2024-03-01 10:00:00",
+             "2024-03-01": "2024-03-01 00:00:00", "bad": None, "2024-03-01 10:00:00 nowhere": None, None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for r in df.select("s", to_ts("s").alias("a"), F.expr(_ts_sql("s")).alias("b"), to_date("s").alias("d")).collect():
+        want = texts[r.s]
+        assert (str(r.a) if r.a else None) == (str(r.b) if r.b else None) == want, r
+        assert (str(r.d) if r.d else None) == (want and want[:10]), r
+    numbers = {"10": 10.0, "10d": None, "10F": None, "1e3": 1000.0, "inf": None, "NaN": None, "x": None, None: None}
+    df = spark.createDataFrame([(t,) for t in numbers], "s string")
+    for r in df.select("s", to_number("s").alias("a"), F.expr(_num_sql("s")).alias("b")).collect():
+        assert r.a == r.b == numbers[r.s], r

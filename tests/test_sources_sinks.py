@@ -34,11 +34,49 @@ def test_csv_scan_text_and_inferred(spark):
     assert all(t == "string" for c, t in frames["players"].dtypes if c != "ingest_date")
     inferred = sources.read_bronze_csv(spark, p, infer=True)
     assert dict(inferred.dtypes)["self_excluded"] == "boolean"
-    pruned = sources.read_bronze_csv(spark, os.path.join(root, "players"),
-                                     BRONZE_CONTRACTS["players"].columns, "2099-01-01")
+    pruned = sources.read_bronze_csv(spark, os.path.join(root, "players"), "2099-01-01")
     assert pruned.count() == 0
 
 
+def _csv(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", newline="") as fh:
+        fh.write(text)
+
+
+def test_csv_columns_go_by_header_and_drift_is_reported(spark):
+    from tidewell.operators import dq
+
+    cols = BRONZE_CONTRACTS["campaigns"].columns
+    swapped = [cols[1], cols[0], *cols[2:]]
+    flat = _tmp()
+    _csv(flat, "a.csv", ",".join(swapped) + "\nx,C001" + ",v" * (len(cols) - 2) + "\n")
+    row = sources.read_bronze_csv(spark, flat).first()
+    assert row[cols[0]] == "C001" and row[cols[1]] == "x"  # a flat folder, other column order
+    for header, drift in ((cols + ["more"], 1), (cols[:-1], 1), (swapped, 0)):
+        root = _tmp()
+        _csv(os.path.join(root, "campaigns", "ingest_date=2024-04-01"), "a.csv",
+             ",".join(header) + "\n" + ",".join(["1"] * len(header)) + "\n")
+        frames, failures = sources.read_entities(spark, root, "2024-04-01", ["campaigns"])
+        assert not failures
+        res = dq.run_contract(frames["campaigns"], "campaigns", BRONZE_CONTRACTS["campaigns"],
+                              group_cols=["ingest_date"]).where("`check` = 'schema_contract'").collect()
+        assert [(r.passed, r.failed_records) for r in res] == [(drift == 0, drift)]
+        assert sources.conform(frames["campaigns"], cols).columns == [*cols, "ingest_date"]
+
+
+def test_csv_files_with_other_headers_fail_and_flat_folders_have_no_days(spark):
+    import pytest
+
+    mixed = _tmp()
+    _csv(mixed, "a.csv", "p,q\n1,2\n")
+    _csv(mixed, "b.csv", "q,p\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_bronze_csv(spark, mixed).collect()
+    with pytest.raises(ValueError):
+        sources.read_bronze_csv(spark, mixed, "2024-04-01")
+
+
 def test_quote_payload_scan_and_hash(spark):
     root = _tmp()
     with open(os.path.join(root, "q.json"), "w") as fh:

@@ -58,33 +58,39 @@ def strip(c: str | Column) -> Column:
                   ).otherwise(c)
 
 
-def full_match(c: str | Column, rx: str) -> Column:
-    """Whole-string regex match; \\z so a trailing newline does not pass."""
-    return col_(c).rlike(r"\A(?:" + rx + r")\z")
+# --------------------------------------------------------------------------- casts
+#: Characters of a time of day without a zone.
+PLAIN_TIME_CHARS = "0123456789:. T"
 
 
-# --------------------------------------------------------------------------- casts
 def to_ts(c: str | Column) -> Column:
     """Tolerant text -> TIMESTAMP_NTZ in UTC; unparseable -> null (never raises).
 
-    Plain ISO forms parse directly; forms with an offset or 'Z' are read as an
-    instant (session time zone is UTC) and then taken as UTC wall time.
+    Supported are the ISO forms that Spark casts. A text with an offset, 'Z' or a
+    zone name is an instant (the session time zone is UTC) taken as UTC wall time:
+    a direct cast to TIMESTAMP_NTZ would drop the offset without notice.
     """
     c = col_(c)
-    return F.coalesce(
-        c.try_cast("timestamp_ntz"),                       # fast path: plain ISO text
-        c.try_cast("timestamp").cast("timestamp_ntz"),     # ISO with offset / 'Z'
-    )
+    return F.when(has_zone(c), c.try_cast("timestamp").cast("timestamp_ntz")).otherwise(
+        c.try_cast("timestamp_ntz"))
+
+
+def has_zone(c: Column) -> Column:
+    """Anything but digits, separators and T behind the date part: an offset or zone."""
+    return F.translate(F.substring(c.cast("string"), 11, 64), PLAIN_TIME_CHARS, "") != ""
 
 
 def to_date(c: str | Column) -> Column:
     c = col_(c)
-    return F.coalesce(c.try_cast("date"), to_ts(c).cast("date"))
+    return F.when(has_zone(c), to_ts(c).cast("date")).otherwise(
+        F.coalesce(c.try_cast("date"), to_ts(c).cast("date")))
 
 
 def to_number(c: str | Column) -> Column:
-    """Tolerant text -> double; NaN and infinities count as unparseable."""
-    d = col_(c).try_cast("double")
+    """Tolerant text -> double; NaN, infinities and Java's type suffixes (10d, 10f)
+    count as unparseable. No other number holds one of those letters."""
+    c = col_(c)
+    d = F.when(F.translate(c.cast("string"), "dDfF", "") == c.cast("string"), c.try_cast("double"))
     return F.when(F.isnan(d) | (F.abs(d) == float("inf")), F.lit(None)).otherwise(d)
 
 
@@ -102,11 +108,6 @@ def round_half_even_2(c: Column) -> Column:
     return F.rint(c * 100) / 100
 
 
-def money_sum(c: str | Column, scale: int = 2) -> Column:
-    """Order-independent sum of 2-dp money: exact decimal, then back to double."""
-    return F.round(F.sum(col_(c).cast(f"decimal(38,{scale})")), 2).cast("double")
-
-
 # --------------------------------------------------------------------------- dates
 def date_key(c: str | Column) -> Column:
     """timestamp/date -> int yyyymmdd."""

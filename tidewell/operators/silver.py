@@ -110,20 +110,23 @@ def split(df: DataFrame, contract: Contract, ref: _dt.date,
     return clean, quarantine
 
 
+#: Kind of a typed column -> how its text is read (D1); what cannot be read is null.
+READERS = {"timestamps": to_ts, "dates": to_date, "numbers": to_number, "booleans": to_bool}
+
+
 def cast(df: DataFrame, spec: dict) -> DataFrame:
-    """Tolerant typing (D1) and explicit blank fill (D2); bad values -> null."""
-    out = df
-    for c in spec.get("timestamps", []):
-        out = out.withColumn(c, to_ts(c))
-    for c in spec.get("dates", []):
-        out = out.withColumn(c, to_date(c))
-    for c in spec.get("numbers", []):
-        out = out.withColumn(c, to_number(c))
-    for c in spec.get("booleans", []):
-        out = out.withColumn(c, to_bool(c))
-    for c, value in spec.get("fill", {}).items():
-        out = out.withColumn(c, F.when(is_blank(c), F.lit(value)).otherwise(F.col(c)))
-    return out
+    """One projection: tolerant typing (D1) and explicit fill of blanks."""
+    kinds = {c: kind for kind in READERS for c in spec.get(kind, ())}
+    fills = spec.get("fill", {})
+
+    def typed(c: str):
+        if c in kinds:
+            return READERS[kinds[c]](c).alias(c)
+        if c in fills:
+            return F.when(is_blank(c), F.lit(fills[c])).otherwise(F.col(c)).alias(c)
+        return F.col(c)
+
+    return df.select(*map(typed, df.columns))
 
 
 def derive_flags(entity: str, df: DataFrame) -> DataFrame:

@@ -47,7 +47,8 @@ def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date
     current = os.path.join(out_base, "reference", "fx_rates", "current")
     try:
         quotes = sources.read_quote_files(spark, quotes_path)
-        digest = quotes.select("payload_sha256").distinct().limit(1).collect()
+        # one hash per landed payload file, which the calendar bounds
+        digest = [r[0] for r in quotes.select("payload_sha256").distinct().orderBy("payload_sha256").collect()]
         dense = fx.build_dense(quotes.drop("payload_sha256"), start, end, fetched_at)
         published = quotes.select("pub_date").where(
             F.col("pub_date").between(F.lit(start), F.lit(end))).distinct().count()
@@ -67,7 +68,7 @@ def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date
                                       snapshot_date, run_id)
     sinks.write_dq_report(checks, out_base, snapshot_date, run_id, fetched_at)
     out = {"run_id": run_id, "published_days": published, "degraded_mode": degraded,
-           "payload_sha256": digest[0][0] if digest else None, "output": info, "dq": summ}
+           "payload_sha256": digest, "output": info, "dq": summ}
     sinks.gate(summ, fail_on_error, "fx table")
     return out
 
@@ -84,8 +85,9 @@ def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: st
     # distinct rows + multiplicity: the one shuffle of each entity, read by the DQ
     # battery, the FK checks, the clean write and the quarantine write of this job;
     # kept (memory, spilling to disk) only for the job's lifetime
+    rows = {e: sources.conform(df, BRONZE_CONTRACTS[e].columns) for e, df in frames.items()}
     distinct = {e: sv.collapse(df, BRONZE_CONTRACTS[e].columns + groups)
-                .persist(StorageLevel.MEMORY_AND_DISK) for e, df in frames.items()}
+                .persist(StorageLevel.MEMORY_AND_DISK) for e, df in rows.items()}
     checks = [dq.run_contract(df, e, BRONZE_CONTRACTS[e], refs.quarantine[e], groups,
                               distinct_rows=distinct[e])
               for e, df in frames.items()]
@@ -94,7 +96,7 @@ def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: st
         checks.append(fk)
     results = {}
     at = f"{ingest_date or 'all'}T00:00:00+00:00"
-    for e, df in frames.items():
+    for e, df in rows.items():
         contract = BRONZE_CONTRACTS[e]
         clean, quarantine = sv.split(df, contract, refs.quarantine[e], extra_cols=["ingest_date"],
                                      groups=distinct[e])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,36 +37,41 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     return df
 
 
-def read_bronze_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                    ingest_date: str | None = None, infer: bool = False) -> DataFrame:
-    """Raw CSV scan.
+def read_bronze_csv(spark: SparkSession, path: str, ingest_date: str | None = None,
+                    infer: bool = False) -> DataFrame:
+    """Raw CSV scan (S1/S2/S4), columns taken by header name on every file system.
 
-    Every column is read as text unless ``infer`` (S2). NA tokens become null
-    here, once, before any check. ``path`` may be a partitioned folder
-    (``ingest_date=`` directories); ``ingest_date`` prunes to one partition.
+    The frame has the header's own columns, so that the schema check sees drift.
+    ``enforceSchema=false`` makes Spark hold each file's header against the first
+    one's: a file in another column order fails, it is never bound by position.
+    Every column is text unless ``infer`` (S2); NA tokens become null here, once.
+    ``ingest_date`` reads that load day only; a day without files is empty, and a
+    folder without load days cannot be asked for one.
     """
-    reader = spark.read.option("header", True).option("multiLine", False)
+    reader = (spark.read.option("header", True).option("inferSchema", infer)
+              .option("enforceSchema", False))
+    df = None
+    if ingest_date is not None:
+        try:
+            df = reader.option("basePath", path).csv(f"{path.rstrip('/')}/ingest_date={ingest_date}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if df is None:
+        df = reader.csv(path)
+        if ingest_date is not None:
+            if "ingest_date" not in df.columns:
+                raise ValueError(f"{path} has no load days, {ingest_date} cannot be read")
+            df = df.where(F.col("ingest_date").cast("string") == ingest_date)
     if infer:
-        df = reader.option("inferSchema", True).csv(path)
-    else:
-        if columns:
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-            reader = reader.schema(schema) if not _is_partitioned(path) else reader
-        df = reader.option("inferSchema", False).csv(path)
-        if _is_partitioned(path) and columns:
-            df = df.select(*[F.col(c).cast("string") for c in columns], "ingest_date")
-        df = df.select(*[na_to_null(c).alias(c) if c in (columns or df.columns)
-                         and c != "ingest_date" else F.col(c) for c in df.columns])
-    if ingest_date is not None and "ingest_date" in df.columns:
-        df = df.where(F.col("ingest_date").cast("string") == ingest_date)
-    return df
+        return df
+    return df.select(*[F.col(c) if c == "ingest_date" else na_to_null(c).alias(c) for c in df.columns])
 
 
-def _is_partitioned(path: str) -> bool:
-    try:
-        return any(p.startswith("ingest_date=") for p in os.listdir(path))
-    except (FileNotFoundError, NotADirectoryError):
-        return False
+def conform(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The contract's columns and the load day; what the header lacks is null."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                       for c in [*columns, "ingest_date"]])
 
 
 def read_entities(spark: SparkSession, bronze_root: str, ingest_date: str | None = None,
@@ -76,8 +82,9 @@ def read_entities(spark: SparkSession, bronze_root: str, ingest_date: str | None
     for entity in entities or list(BRONZE_CONTRACTS):
         path = os.path.join(bronze_root, entity)
         try:
-            df = read_bronze_csv(spark, path, BRONZE_CONTRACTS[entity].columns, ingest_date)
-            df.schema  # noqa: B018 - forces path resolution now
+            df = read_bronze_csv(spark, path, ingest_date)
+            if "ingest_date" not in df.columns:
+                df = df.withColumn("ingest_date", F.lit(None).cast("string"))
             frames[entity] = df
         except Exception as exc:  # noqa: BLE001
             failures.append({"entity": entity, "error": f"{type(exc).__name__}: {exc}"})

@@ -152,7 +152,7 @@ def touchpoints(spark: SparkSession, base: str) -> DataFrame:
     return e.select(
         _id("T", 7, k).alias("touchpoint_id"),
         _id("P", 5, F.col("user_id")).alias("player_id"),
-        _id("C", 3, k % 100).alias("campaign_id"),
+        _id("C", 3, F.col("user_id") + k % 100).alias("campaign_id"),  # more users, more campaigns
         _pick(["email", "push", "sms"], k).alias("channel"),
         _text(F.col("ts")).alias("event_ts"),
         F.when(et == "view", "sent").when(et == "click", "open")
