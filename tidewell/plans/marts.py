@@ -112,10 +112,11 @@ def last_offer(star: dict[str, DataFrame], touch_ref: _dt.date) -> DataFrame:
     """Offer of each player's latest touchpoint strictly before the cut."""
     t = star["fact_touchpoint"].where(F.col("event_ts") < ts_lit(touch_ref)) \
         .select("player_id", "campaign_id", "event_ts", "touchpoint_id")
+    # Each player's last touch per campaign first: a hot campaign is joined once per player.
+    t = t.groupBy("player_id", "campaign_id").agg(
+        F.max(F.struct("event_ts", "touchpoint_id")).alias("at"))
     c = star["dim_campaign"].select("campaign_id", "offer")
-    j = t.join(c, "campaign_id")
-    return j.groupBy("player_id").agg(
-        F.max_by("offer", F.struct("event_ts", "touchpoint_id")).alias("offer"))
+    return t.join(c, "campaign_id").groupBy("player_id").agg(F.max_by("offer", "at").alias("offer"))
 
 
 def ltv_channel_offer_product(p360: DataFrame, offers: DataFrame) -> DataFrame:
