@@ -157,13 +157,14 @@ def keep_first(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` without near duplicates: of each component the row of its smallest doc_id.
 
     Of repeated rows with that doc_id one stays. Rows with a null doc_id cannot
-    be named as members and pass unchanged.
+    be named as members and pass unchanged. The texts meet the ids that go (and
+    the repeated ones), not those that stay: the shorter list of the two.
     """
     found = near_duplicates(docs, words, max_bits)
-    ids = materialise(found.where("doc_id = component_id").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n")), "simhash-kept")
-    kept = docs.join(ids.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    again = ids.where("n > 1").select("doc_id")
+    odd = materialise(found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count_if(F.col("doc_id") == F.col("component_id")).alias("n")).where("n <> 1"), "simhash-odd")
+    kept = docs.join(odd.select("doc_id"), "doc_id", "left_anti")
+    again = odd.where("n > 1").select("doc_id")
     if not again.isEmpty():
         kept = kept.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    return kept.select(docs.columns)
