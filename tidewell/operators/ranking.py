@@ -58,11 +58,3 @@ def ntile(df: DataFrame, n: int, order_cols: list[Column | str], out: str = "til
         .otherwise(r + F.floor((F.col("_rn") - big - 1) / q) + 1)
     return ranked.withColumn(out, tile.cast("int")).drop("_rn", "_n")
 
-
-def top1(df: DataFrame, group_cols: list[str], value_col: str, order: Column) -> DataFrame:
-    """``value`` of the row with the smallest ``order`` per group, as an aggregate.
-
-    ``min_by`` is a partial aggregate: a hot group collapses map-side instead of
-    being sorted in one task like ``row_number() OVER (PARTITION BY ...)``.
-    """
-    return df.groupBy(*group_cols).agg(F.min_by(value_col, order).alias(value_col))

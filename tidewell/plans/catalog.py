@@ -29,14 +29,6 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _LAKES[key]
 
 
-def _q(fn: Callable[[Lake], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(lake(spark, sf_dir))
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    return run
-
-
 def _p360(lk: Lake) -> DataFrame:
     return marts.player_360(lk.star, lk.refs.dormancy_ref)
 
@@ -176,8 +168,7 @@ def _tax_stage(lk: Lake, stage: str) -> DataFrame:
     exact = tx.exact_hits(names, vocab)
     if stage == "exact":
         return exact.select("campaign_name", "segment", "term")
-    fz = tx.fuzzy_hits(names, vocab).join(exact, ["campaign_name", "segment"], "left_anti")
-    return fz.select("campaign_name", "segment", "term")
+    return tx.fuzzy_hits(names, vocab, solved=exact).select("campaign_name", "segment", "term")
 
 
 def _tax_tokens(lk: Lake) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (DEFAULT_OFFER, DEFAULT_PRODUCT, DEFAULT_TIER, DORMANCY_DAYS,
-                      SEGMENT_ORDER, TARGET_DAYS, TARGET_TIERS, TIER_LABELS, UNKNOWN)
+                      TARGET_DAYS, TARGET_TIERS, TIER_LABELS, UNKNOWN)
 from ..functions import cents, day_bucket, ts_lit, whole_days, with_half_up
 from ..operators import ranking
 
@@ -196,23 +196,22 @@ def primary_product(star: dict[str, DataFrame]) -> DataFrame:
         F.min_by("product", F.struct(-F.col("stake"), F.col("product"))).alias("primary_product"))
 
 
-def best_offer(ltv_cop: DataFrame) -> DataFrame:
-    """Offer with the highest mean LTV over actionable players (top-1 is the feature)."""
-    real = ltv_cop.where(~F.col("offer").isin(DEFAULT_OFFER, UNKNOWN) & (F.col("acionaveis") > 0))
-    per = real.groupBy("offer").agg(
-        (F.sum(F.col("ltv_medio_brl") * F.col("jogadores")) / F.sum("jogadores")).alias("m"))
-    return per.orderBy(F.col("m").desc(), F.col("offer")).limit(1).select("offer")
+def best_offer(p360: DataFrame, offers: DataFrame) -> DataFrame:
+    """Offer with the highest mean LTV of its actionable players (top-1 is the feature).
+
+    Means are compared in whole millionths of a cent; ties go to the first name.
+    """
+    named = offers.where(~F.col("offer").isin(DEFAULT_OFFER, UNKNOWN))
+    per = (p360.where(_actionable()).select("player_id", "ltv_brl").join(named, "player_id")
+           .groupBy("offer").agg(cents(F.sum(_dec("ltv_brl"))).alias("c"), F.count(F.lit(1)).alias("n")))
+    return per.orderBy(F.expr("(c * 1000000) div n").desc(), F.col("offer")).limit(1).select("offer")
 
 
 def target_list(p360: DataFrame, offers: DataFrame) -> DataFrame:
     """Actionable Q4/Q3 players inactive 31-84 days, with the best offer."""
     lo, hi = TARGET_DAYS
-    cop = ltv_channel_offer_product(p360, offers)
-    best = best_offer(cop).scalar()
+    best = best_offer(p360, offers).scalar()
     t = p360.where(_actionable() & F.col("value_tier").isin(TARGET_TIERS)
                    & F.col("days_inactive").between(lo, hi))
     return t.select("player_id", "value_tier", "days_inactive", "ltv_brl", "acquisition_channel",
                     F.coalesce(best, F.lit(DEFAULT_OFFER)).alias("recommended_offer"))
-
-
-SEGMENT_COLUMNS = SEGMENT_ORDER

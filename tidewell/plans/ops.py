@@ -12,6 +12,12 @@ from ..operators import dq
 DQ_COLS = ["ingest_date", "entity", "check", "column", "severity", "passed",
            "failed_records", "total_records", "failed_ratio"]
 
+#: The metric columns of the per-entity operations table; a DQ report holds the second list.
+ENTITY_METRICS = ["RowsIngested", "RowCount", "RowsQuarantined", "ChecksTotal", "DuplicateKeys", "BlankValues",
+                  "FormatViolations", "OutOfRangeNumerics", "FutureDatedRecords", "ProcessingDurationMs"]
+REPORT_METRICS = ["ChecksTotal", "DuplicateKeys", "BlankValues", "FormatViolations", "OutOfRangeNumerics",
+                  "FutureDatedRecords"]
+
 
 def run_verdict(report: DataFrame) -> DataFrame:
     """Checks run, ERROR and WARN failures per run."""
@@ -67,6 +73,23 @@ def latest_checks(report: DataFrame, k: int = 30) -> DataFrame:
             .limit(k).select("checked_at", *DQ_COLS))
 
 
+def entity_rows(metrics: DataFrame, names: list[str] = ENTITY_METRICS, k: int = 30) -> DataFrame:
+    """O5 re-aimed: the latest runs, one wide row per entity and load (top-k is the feature).
+
+    A metric that a run did not record is null.
+    """
+    wide = metrics.groupBy("ts", "ingest_date", "entity").agg(
+        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in names])
+    return wide.orderBy(F.col("ts").desc(), F.col("ingest_date").desc(), "entity").limit(k)
+
+
 def latest_metrics(report: DataFrame, k: int = 30) -> DataFrame:
-    """O5 re-aimed: the latest per-entity metric rows (top-k is the feature)."""
-    return run_metrics(report).orderBy(F.col("ts").desc(), "entity", "metric").limit(k)
+    """``entity_rows`` of a DQ report, which knows the check metrics only."""
+    return entity_rows(run_metrics(report), REPORT_METRICS, k)
+
+
+def degraded_alarm(metrics: DataFrame) -> DataFrame:
+    """A23 re-aimed: hours in which a layer ran on its previous snapshot."""
+    g = metrics.where(F.col("metric") == "DegradedMode").groupBy(
+        F.window("ts", "1 hour").start.alias("window_start"), "layer").agg(F.max("value").alias("degraded_mode"))
+    return g.where(F.col("degraded_mode") > 0)

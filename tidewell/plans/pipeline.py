@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import (BRONZE_CONTRACTS, FX_CONTRACT, FX_LOOKBACK_DAYS, GOLD_CONTRACTS,
                       GOLD_WRITE_ORDER, References)
 from ..operators import dq, fx, silver as sv, star as st, taxonomy
+from ..session import materialise
 from .. import sinks, sources
 
 SILVER_COLUMNS = {
@@ -39,10 +41,66 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _settled(parts: list[DataFrame], name: str) -> DataFrame:
+    """All check rows of a job, evaluated once (a few hundred rows)."""
+    allc = _union([c.drop("seq", "failed_ratio") for c in parts])
+    return materialise(dq.with_ratio(allc), f"checks-{name}")
+
+
+def _write_metrics(checks: DataFrame, sizes: dict[str, dict[str, int]], out_base: str, layer: str, run_id: str,
+                   ingest_date: str | None, at: str) -> None:
+    """K8: check totals of each entity, and what was read and written (a few rows an entity)."""
+    rows = [(e, m, int(v)) for e, of in sizes.items() for m, v in of.items()]
+    found = dq.metrics(checks, ["entity"]).select("entity", "metric", "value").unionByName(
+        checks.sparkSession.createDataFrame(rows, "entity string, metric string, value bigint"))
+    sinks.write_metrics(found.withColumn("ingest_date", F.lit(ingest_date).cast("string")).withColumn(
+        "ts", F.substring(F.lit(at), 1, 19).try_cast("timestamp_ntz")), out_base, layer, run_id)
+
+
+def _written(info: dict) -> dict[str, int]:
+    return {"RowCount": info["rows"], "ColumnCount": info["columns"], "BytesWritten": info["bytes"]}
+
+
+def _since(began: float) -> dict[str, int]:
+    return {"ProcessingDurationMs": int((time.monotonic() - began) * 1000)}
+
+
+def _load_entity(spark: SparkSession, e: str, df: DataFrame, fx_table: DataFrame, refs: References,
+                 ingest_date: str | None, out_base: str, run_id: str, at: str
+                 ) -> tuple[dict[str, int], DataFrame, DataFrame]:
+    """One entity from bronze to silver; returns its metrics, check rows and distinct rows."""
+    began, contract, groups = time.monotonic(), BRONZE_CONTRACTS[e], ["ingest_date"]
+    rows = sources.conform(df, contract.columns)
+    # distinct rows + multiplicity: the one shuffle of the entity, read by the DQ battery, the FK
+    # checks and both writes; kept in the shared folder, where no lost executor takes them along
+    distinct = materialise(sv.collapse(rows, contract.columns + groups), f"distinct-{e}")
+    checks = [dq.run_contract(df, e, contract, refs.quarantine[e], groups, distinct_rows=distinct)]
+    clean, quarantine = sv.split(rows, contract, refs.quarantine[e], extra_cols=groups, groups=distinct)
+    q_info = sinks.write_quarantine(quarantine, out_base, e, run_id, at)
+    spec = sv.TRANSFORMS.get(e, {})
+    typed = sv.cast(clean.select(*contract.columns), spec)
+    if spec.get("money"):
+        m = spec["money"]
+        typed = fx.to_brl(typed, fx_table, m["cols"], m["currency"], m["date"])
+        checks.append(fx.missing_rate_check(typed, e, m["currency"])
+                      .withColumn("ingest_date", F.lit(ingest_date)))
+    if e == "campaigns":
+        typed = taxonomy.parse(typed, spark)
+    typed = sv.derive_flags(e, typed).select(*SILVER_COLUMNS[e])
+    w = sinks.write_parquet(typed, os.path.join(out_base, "silver", e), "overwrite")
+    rows_in = int(distinct.agg(F.sum("_copies")).first()[0] or 0)
+    diff = abs(rows_in - w["rows"] - q_info["rows"])
+    checks.append(dq.expect(spark, e, "reconciliation", None, "ERROR", diff == 0, diff, rows_in)
+                  .withColumn("ingest_date", F.lit(ingest_date)))
+    found = _settled(checks, e)
+    return ({"RowsIngested": rows_in, **_written(w), "RowsQuarantined": q_info["rows"], **_since(began)},
+            found, distinct)
+
+
 def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date, end: _dt.date,
            run_id: str, snapshot_date: str, fail_on_error: bool = True) -> dict:
     """FX job: landed quotes -> dense table -> checks -> snapshot + current."""
-    fetched_at = f"{snapshot_date}T00:00:00+00:00"
+    began, fetched_at = time.monotonic(), f"{snapshot_date}T00:00:00+00:00"
     degraded = False
     current = os.path.join(out_base, "reference", "fx_rates", "current")
     try:
@@ -57,16 +115,17 @@ def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date
         if dense is None:
             raise
         degraded, digest, published = True, [], 0
-    checks = _union([dq.run_contract(dense, "fx_rates", FX_CONTRACT),
-                     fx.coverage_check(dense, start, end),
-                     fx.jump_check(dense).drop("worst_jump")])
-    checks = dq.with_ratio(checks.drop("failed_ratio")) if "failed_ratio" in checks.columns else checks
+    checks = _settled([dq.run_contract(dense, "fx_rates", FX_CONTRACT),
+                       fx.coverage_check(dense, start, end),
+                       fx.jump_check(dense).drop("worst_jump")], "fx")
     summ = sinks.summary(checks, 10)
     info = None
     if not (summ["errors"] and fail_on_error):
         info = sinks.publish_snapshot(dense, os.path.join(out_base, "reference", "fx_rates"),
                                       snapshot_date, run_id)
-    sinks.write_dq_report(checks, out_base, snapshot_date, run_id, fetched_at)
+    sinks.write_dq_report(checks, out_base, snapshot_date, run_id, fetched_at, "reference")
+    sizes = {"fx_rates": {**(_written(info) if info else {}), "DegradedMode": int(degraded), **_since(began)}}
+    _write_metrics(checks, sizes, out_base, "reference", run_id, snapshot_date, fetched_at)
     out = {"run_id": run_id, "published_days": published, "degraded_mode": degraded,
            "payload_sha256": digest, "output": info, "dq": summ}
     sinks.gate(summ, fail_on_error, "fx table")
@@ -76,59 +135,32 @@ def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date
 def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: str,
                refs: References, ingest_date: str | None, run_id: str,
                entities: list[str] | None = None, fail_on_error: bool = True) -> dict:
-    """Silver job: bronze CSV -> DQ -> quarantine -> typed, converted Parquet."""
-    from pyspark import StorageLevel
+    """Silver job: bronze CSV -> DQ -> quarantine -> typed, converted Parquet.
 
+    An entity whose read, transform or write fails is recorded; the others are loaded.
+    """
     fx_table = spark.read.parquet(fx_path)
     frames, failures = sources.read_entities(spark, bronze_root, ingest_date, entities)
-    groups = ["ingest_date"]
-    # distinct rows + multiplicity: the one shuffle of each entity, read by the DQ
-    # battery, the FK checks, the clean write and the quarantine write of this job;
-    # kept (memory, spilling to disk) only for the job's lifetime
-    rows = {e: sources.conform(df, BRONZE_CONTRACTS[e].columns) for e, df in frames.items()}
-    distinct = {e: sv.collapse(df, BRONZE_CONTRACTS[e].columns + groups)
-                .persist(StorageLevel.MEMORY_AND_DISK) for e, df in rows.items()}
-    checks = [dq.run_contract(df, e, BRONZE_CONTRACTS[e], refs.quarantine[e], groups,
-                              distinct_rows=distinct[e])
-              for e, df in frames.items()]
-    fk = dq.run_foreign_keys(distinct, BRONZE_CONTRACTS, groups, weight_col="_copies")
-    if fk is not None:
-        checks.append(fk)
-    results = {}
     at = f"{ingest_date or 'all'}T00:00:00+00:00"
-    for e, df in rows.items():
-        contract = BRONZE_CONTRACTS[e]
-        clean, quarantine = sv.split(df, contract, refs.quarantine[e], extra_cols=["ingest_date"],
-                                     groups=distinct[e])
-        q_info = sinks.write_quarantine(quarantine, out_base, e, run_id, at)
-        spec = sv.TRANSFORMS.get(e, {})
-        typed = sv.cast(clean.select(*contract.columns), spec)
-        if spec.get("money"):
-            m = spec["money"]
-            typed = fx.to_brl(typed, fx_table, m["cols"], m["currency"], m["date"])
-            checks.append(fx.missing_rate_check(typed, e, m["currency"])
-                          .withColumn("ingest_date", F.lit(ingest_date)))
-        if e == "campaigns":
-            typed = taxonomy.parse(typed, spark)
-        typed = sv.derive_flags(e, typed).select(*SILVER_COLUMNS[e])
-        w = sinks.write_parquet(typed, os.path.join(out_base, "silver", e), "overwrite")
-        rows_in = int(distinct[e].agg(F.sum("_copies")).first()[0] or 0)
-        rec = dq.expect(spark, e, "reconciliation", None, "ERROR",
-                        rows_in == w["rows"] + q_info["rows"], abs(rows_in - w["rows"] - q_info["rows"]),
-                        rows_in).withColumn("ingest_date", F.lit(ingest_date))
-        checks.append(rec)
-        results[e] = {"rows_ingested": rows_in, "rows_written": w["rows"],
-                      "rows_quarantined": q_info["rows"]}
-    allc = _union([c.drop("seq") if "seq" in c.columns else c for c in checks])
-    allc = dq.with_ratio(allc.drop("failed_ratio"))
+    checks, distinct, results, sizes = [], {}, {}, {}
+    for e, df in frames.items():
+        try:
+            sizes[e], found, distinct[e] = _load_entity(spark, e, df, fx_table, refs, ingest_date, out_base,
+                                                        run_id, at)
+        except Exception as exc:  # noqa: BLE001 - one entity must not stop the others
+            failures.append({"entity": e, "error": f"{type(exc).__name__}: {exc}"})
+            continue
+        checks.append(found)
+        results[e] = {"rows_ingested": sizes[e]["RowsIngested"], "rows_written": sizes[e]["RowCount"],
+                      "rows_quarantined": sizes[e]["RowsQuarantined"], "columns": sizes[e]["ColumnCount"],
+                      "bytes_written": sizes[e]["BytesWritten"]}
+    if not checks:
+        raise RuntimeError(f"no entity was loaded: {failures}")
+    fk = dq.run_foreign_keys(distinct, BRONZE_CONTRACTS, ["ingest_date"], weight_col="_copies")
+    allc = _settled(checks + ([fk] if fk is not None else []), "silver")
     summ = sinks.summary(allc)
     sinks.write_dq_report(allc, out_base, ingest_date or "all", run_id, at)
-    metrics = dq.metrics(allc, ["entity"]).select(
-        F.lit("silver").alias("layer"), "entity", "metric", "value", F.lit(run_id).alias("run_id"),
-        F.lit(ingest_date).alias("ingest_date"))
-    sinks.append_metrics(metrics, out_base)
-    for d in distinct.values():
-        d.unpersist()
+    _write_metrics(allc, sizes, out_base, "silver", run_id, ingest_date, at)
     out = {"run_id": run_id, "results": results, "failures": failures, "dq": summ}
     if failures:
         raise RuntimeError(f"{len(failures)} entity(ies) failed: {failures}")
@@ -140,19 +172,22 @@ def run_gold(spark: SparkSession, silver_base: str, out_base: str, refs: Referen
              fail_on_error: bool = True) -> dict:
     """Gold job: silver -> star -> contracts + FKs + invariants -> all-or-nothing publish."""
     silver = {e: spark.read.parquet(os.path.join(silver_base, "silver", e)) for e in BRONZE_CONTRACTS}
-    star = st.build_star(silver, refs.dormancy_ref)
-    star = {k: v.checkpoint(eager=True) for k, v in star.items()}  # validate and write the same rows
+    began, day = time.monotonic(), refs.dormancy_ref.isoformat()
+    # written first: the checks read what is published, not the plan that made it
+    star = {k: materialise(v, f"star-{k}") for k, v in st.build_star(silver, refs.dormancy_ref).items()}
     checks = [dq.run_contract(star[n], n, GOLD_CONTRACTS[n], refs.dormancy_ref) for n in GOLD_WRITE_ORDER]
     fk = dq.run_foreign_keys(star, GOLD_CONTRACTS)
     if fk is not None:
         checks.append(fk)
-    checks.append(dq.with_ratio(st.invariants(star, silver)))
-    allc = _union([c.drop("seq") if "seq" in c.columns else c for c in checks])
+    checks.append(st.invariants(star, silver))
+    allc = _settled(checks, "gold")
     summ = sinks.summary(allc)
     pub = sinks.publish_all_or_nothing(star, GOLD_WRITE_ORDER, os.path.join(out_base, "gold"),
                                        allc, fail_on_error)
-    sinks.write_dq_report(allc, out_base, refs.dormancy_ref.isoformat(), run_id,
-                          f"{refs.dormancy_ref.isoformat()}T00:00:00+00:00")
+    at = f"{day}T00:00:00+00:00"
+    sinks.write_dq_report(allc, out_base, day, run_id, at, "gold")
+    sizes = {name: _written(info) for name, info in pub.get("tables", {}).items()}
+    _write_metrics(allc, sizes | {"star": _since(began)}, out_base, "gold", run_id, day, at)
     out = {"run_id": run_id, "published": pub, "dq": summ}
     sinks.gate(summ, fail_on_error, "star")
     return out

@@ -13,24 +13,33 @@ import os
 from pyspark.sql import SparkSession
 
 from ..config import GOLD_WRITE_ORDER
+from ..session import stored_bytes
 from . import marts
 
 SILVER_TABLES = ["players", "deposits", "bets", "campaigns", "campaign_touchpoints"]
 
 
 def register_tables(spark: SparkSession, base: str, database: str = "lakehouse") -> list[str]:
-    """(Re)create the database and one external table per published folder."""
+    """(Re)create the database and one external table per published folder, on any file system.
+
+    The DQ report is JSON lines with its partitions in the path; the others are Parquet.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    folders = ([(name, ("gold", name), "parquet") for name in GOLD_WRITE_ORDER]
+               + [(f"silver_{name}", ("silver", name), "parquet") for name in SILVER_TABLES]
+               + [("fx_rates", ("reference", "fx_rates", "current"), "parquet"),
+                  ("dq_report", ("quality", "dq_report"), "json")])
     created = []
-    for layer, names in (("gold", GOLD_WRITE_ORDER), ("silver", SILVER_TABLES)):
-        for name in names:
-            path = os.path.join(base, layer, name)
-            if not os.path.exists(path):
-                continue
-            table = f"{database}.{layer}_{name}" if layer == "silver" else f"{database}.{name}"
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-            created.append(table)
+    for name, folder, form in folders:
+        path = os.path.join(base, *folder)
+        if stored_bytes(spark, path) is None:
+            continue
+        table = f"{database}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING {form} LOCATION '{path}'")
+        if form == "json":
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+        created.append(table)
     return created
 
 

@@ -48,7 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and derived tables.
 
     Read ``spark.checkpoint.dir`` from the session (what a cluster names);
-    only when it is unset (local tests) create a scratch folder and register it.
+    only when it is unset on a local master (tests) create a scratch folder and
+    register it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,11 +58,20 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidewell-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes under ``path`` on the file system it names; None where nothing is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else None
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 

@@ -1,4 +1,8 @@
-"""Sinks (K1-K10): Parquet/JSON writers, quarantine, DQ report, snapshots, gated publish."""
+"""Sinks (K1-K10): Parquet/JSON writers, quarantine, DQ report, snapshots, gated publish.
+
+What a run writes beside its tables (quarantine, DQ report, metrics) has a folder
+of its own per run id, overwritten as a whole: a repeated run replaces its rows.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import ERROR
+from ..session import stored_bytes
 
 
 class DataQualityError(RuntimeError):
@@ -16,13 +21,14 @@ class DataQualityError(RuntimeError):
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> dict:
-    """K1: snappy Parquet, idempotent overwrite; returns rows written (observed)."""
+    """K1: snappy Parquet, idempotent overwrite; returns rows (observed), columns and bytes written."""
     obs = Observation(f"w{abs(hash(path))}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.option("compression", "snappy").parquet(path)
-    return {"rows": int(obs.get.get("rows", 0)), "path": path}
+    return {"rows": int(obs.get.get("rows", 0)), "columns": len(df.columns),
+            "bytes": stored_bytes(df.sparkSession, path) or 0, "path": path}
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append",
@@ -35,25 +41,28 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append",
 
 
 def write_quarantine(q: DataFrame, base: str, entity: str, run_id: str, at: str) -> dict:
-    """K3: one folder per (ingest_date, reason) with run columns added."""
+    """K3: one folder per (run, ingest_date, reason) with run columns added."""
     out = (q.withColumn("_run_id", F.lit(run_id)).withColumn("_quarantined_at", F.lit(at))
            .withColumn("reason", F.col("_quarantine_reason")))
-    return write_parquet(out, os.path.join(base, "quarantine", entity), "append",
+    return write_parquet(out, os.path.join(base, "quarantine", entity, f"run={run_id}"), "overwrite",
                          ["ingest_date", "reason"])
 
 
 def write_dq_report(results: DataFrame, base: str, ingest_date: str, run_id: str,
-                    checked_at: str) -> str | None:
-    """K4: DQ rows as JSON lines under ``ingest_date=``; failure never blocks the load."""
+                    checked_at: str, layer: str = "silver") -> str | None:
+    """K4: DQ rows as JSON lines under ``layer=/run=/ingest_date=``; failure never blocks the load."""
     path = os.path.join(base, "quality", "dq_report")
     try:
         cols = [c for c in results.columns if c != "seq"]
         out = results.select(*cols)
         if "ingest_date" not in cols:
             out = out.withColumn("ingest_date", F.lit(ingest_date))
-        out = (out.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.lit(checked_at))
-               .withColumn("details", F.lit("") if "details" not in cols else F.col("details")))
-        write_jsonl(out, path, "append", ["ingest_date"])
+        if "details" not in cols:
+            out = out.withColumn("details", F.when(
+                F.col("failed_records") > 0,
+                F.format_string("%d of %d records", "failed_records", "total_records")).otherwise(""))
+        out = out.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.lit(checked_at))
+        write_jsonl(out, os.path.join(path, f"layer={layer}", f"run={run_id}"), "overwrite", ["ingest_date"])
         return path
     except Exception:  # noqa: BLE001 - observability must not break the load
         return None
@@ -80,9 +89,9 @@ def publish_all_or_nothing(tables: dict[str, DataFrame], order: list[str], base:
     return {"published": True, "errors": n_err, "tables": out}
 
 
-def append_metrics(rows: DataFrame, base: str) -> None:
-    """K8: run metrics as an appendable table (layer, entity, metric, value, run_id, ...)."""
-    write_parquet(rows, os.path.join(base, "ops", "run_metrics"), "append", ["layer"])
+def write_metrics(rows: DataFrame, base: str, layer: str, run_id: str) -> None:
+    """K8: run metrics (entity, metric, value, ingest_date, ts) under ``layer=/run=``."""
+    write_parquet(rows, os.path.join(base, "ops", "run_metrics", f"layer={layer}", f"run={run_id}"), "overwrite")
 
 
 def summary(checks: DataFrame, limit: int = 20) -> dict:
