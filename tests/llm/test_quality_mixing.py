@@ -293,3 +293,20 @@ def test_top_k_matches_a_scan(spark, size, same):
     assert got == plain_top(rows, [r for r in rows if r[0] % 20 == 0], 5)
     few = spark.createDataFrame(rows[:3], df.select("vec_id", "embedding").schema)
     assert topk.top_k(few.limit(0), few, 5).count() == 0 and topk.top_k(few, few.limit(0), 5).count() == 0
+
+
+def test_html_wrappers_with_noise_names_keep_their_article():
+    long = "This is the story that the page was made for, and it goes on for a while. " * 4
+    want = "Title\n\n" + long.strip()
+    inner = f"<h1>Title</h1><p>{long}</p>"
+    menu = "<div class='sidebar'><p>Elsewhere on this site</p></div>"
+    for page in (f"<body><div class='content-sidebar-wrap'><main>{inner}</main>{menu}</div></body>",
+                 f"<body><div class='social-wrap'><article>{inner}</article></div>{menu}</body>",
+                 f"<body><div class='post category-social'>{inner}</div>{menu}</body>",
+                 f"<body><div class='elementor-widget-wrap'><div class='elementor-widget'><h1>Title</h1></div>"
+                 f"<div class='elementor-widget'><p>{long}</p></div></div>{menu}</body>",
+                 f"<body><div class='sidebar'>{inner}</div></body>",
+                 f"<body><div class='post' data-hidden='false' data-title='Hidden id=nav'>{inner}</div>{menu}</body>"):
+        assert html.extract(page) == want, page
+    assert html.extract(f"<body><div class='post'>{inner}</div><div hidden><p>{long * 3}</p></div></body>") == want
+    assert html.extract(f"<body><div class='post'>{inner}</div><div class='Notice'>{long[:90]}</div></body>") == want

@@ -50,11 +50,14 @@ NOISE = frozenset("ad ads adv advert adverts advertisement advertising adsense a
 NOISE_NAMES = frozenset("header site-header page-header header-wrapper top-header siteheader pageheader".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 NEVER = frozenset("html body main article".split())
+#: Names of what readers write: it may well be longer than the article, so its share of the page says nothing.
+REPLIES = frozenset("comment comments commentlist disqus respond replies".split())
 HINT = frozenset("content article post entry main story body text maincontent articlebody".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
-ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+READ = frozenset("class id role hidden aria-hidden style".split())
 DIGITS = re.compile(r"\d+")
 WORDS = re.compile(r"[a-z]+")
 
@@ -71,7 +74,7 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # container, text, link characters
 
 
-def _noise(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+def _left_out(tag: str, attrs: dict[str, str], inside: bool) -> bool:
     if tag in LEFT_OUT:
         return True
     if tag == "header" and not inside:  # a site's header; an article's own header holds its title
@@ -80,15 +83,68 @@ def _noise(tag: str, attrs: dict[str, str], inside: bool) -> bool:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES:
         return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
-        return True
+    return bool(re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I))
+
+
+def _noise(tag: str, attrs: dict[str, str]) -> frozenset[str]:
+    """The noise words of an element's names."""
+    if tag in NEVER or not attrs:
+        return frozenset()
+    found: set[str] = set()
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
         if name in NOISE_NAMES:
-            return True
+            found.add(name)
+            continue
         words = WORDS.findall(name)
-        if words and words[0] not in ("has", "with", "no", "without", "non") and not NOISE.isdisjoint(words):
-            return True
-    return False
+        if words and words[0] not in ("has", "with", "no", "without", "non"):
+            found |= NOISE.intersection(words)
+    return frozenset(found)
+
+
+def _settle(page: Page, noise: dict[int, frozenset[str]], owners: list[int]) -> None:
+    """Leave out what noise names mark, but not where the names mark the page's main text.
+
+    A noise word is void on a page where the elements named so hold more than half of
+    the text outside links (readers' comments only if they hold the page's h1); an
+    element that holds a <main> or the longest <article> is no noise; and if nothing
+    would be left, no name counts.
+    """
+    if not noise:
+        return
+    size = [0] * len(page.tags)
+    title = [t == "h1" for t in page.tags]
+    main = [t == "main" for t in page.tags]
+    for e, (_, text, links) in zip(owners, page.blocks):
+        if e >= 0:
+            size[e] += max(0, len(text) - 2 * links)
+    whole = sum(max(0, len(text) - 2 * links) for _, text, links in page.blocks)
+    for e in range(len(page.tags) - 1, -1, -1):
+        p = page.parents[e]
+        if p >= 0:
+            size[p] += size[e]
+            title[p] |= title[e]
+            main[p] |= main[e]
+    articles = [e for e, t in enumerate(page.tags) if t == "article" and size[e]]
+    e = max(articles, key=lambda e: (size[e], -e), default=-1)
+    while e >= 0:
+        main[e], e = True, page.parents[e]
+    held: dict[str, int] = defaultdict(int)
+    titled: set[str] = set()
+    above: list[frozenset[str]] = []
+    for e, p in enumerate(page.parents):
+        outer = above[p] if p >= 0 else frozenset()
+        for w in noise.get(e, frozenset()) - outer:  # the outermost element of a word holds the others
+            held[w] += size[e]
+            titled |= {w} if title[e] else set()
+        above.append(outer | noise.get(e, frozenset()))
+    void = {w for w, n in held.items() if 2 * n > whole and (w not in REPLIES or w in titled)}
+    named = [not main[e] and bool(noise.get(e, frozenset()) - void) for e in range(len(page.tags))]
+    for e, p in enumerate(page.parents):
+        named[e] |= p >= 0 and named[p]
+    kept = [b for e, b in zip(owners, page.blocks) if e < 0 or not named[e]]
+    if kept:
+        page.blocks = kept
+        page.out = [a or b for a, b in zip(page.out, named)]
 
 
 def parse(text: str) -> Page:
@@ -97,7 +153,8 @@ def parse(text: str) -> Page:
     stack: list[int] = []  # open elements
     buf: list[str] = []
     at, links, link_chars = 0, 0, 0
-    forms: list[int] = []
+    noise: dict[int, frozenset[str]] = {}
+    owners: list[int] = []  # the innermost element of each block
 
     def container() -> int:
         return next((e for e in reversed(stack) if page.tags[e] in CONTAINERS), -1)
@@ -110,6 +167,7 @@ def parse(text: str) -> Page:
             clean = " ".join(entities.unescape(raw).split())
             if clean and not (stack and page.out[stack[-1]]):
                 page.blocks.append((container(), clean, link_chars))
+                owners.append(stack[-1] if stack else -1)
         link_chars = 0
 
     def close(upto: int) -> None:
@@ -140,7 +198,7 @@ def parse(text: str) -> Page:
             k = next((k for k in range(len(stack) - 1, -1, -1) if page.tags[stack[k]] == tag), None)
             if k is None or (tag not in BLOCKS and any(page.tags[e] in CONTAINERS for e in stack[k:])):
                 continue
-            if tag in BLOCKS or page.out[stack[k]]:
+            if tag in BLOCKS or page.out[stack[k]] or stack[k] in noise:
                 flush()
             close(k)
             continue
@@ -159,7 +217,10 @@ def parse(text: str) -> Page:
             continue
         attrs = {}
         if attrs_text:
-            attrs = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in ATTR.finditer(attrs_text)}
+            for a in ATTR.finditer(attrs_text):
+                name = a[1].lower()
+                if name in READ:
+                    attrs.setdefault(name, a[2] or a[3] or a[4] or "")
         if tag in ENDS_P:
             k = next((k for k in range(len(stack) - 1, -1, -1) if page.tags[stack[k]] == "p"
                       or page.tags[stack[k]] in CONTAINERS), None)
@@ -175,9 +236,10 @@ def parse(text: str) -> Page:
                     break
         parent = stack[-1] if stack else -1
         inside = any(page.tags[e] in ("article", "main") for e in stack)
-        noise = _noise(tag, attrs, inside)
-        out = (parent >= 0 and page.out[parent]) or noise
-        if noise and tag not in BLOCKS:
+        left_out = _left_out(tag, attrs, inside)
+        words = _noise(tag, attrs)
+        out = (parent >= 0 and page.out[parent]) or left_out
+        if (left_out or words) and tag not in BLOCKS:
             flush()
         base = page.paths[parent] if parent >= 0 else ""
         if tag in CONTAINERS or tag in ("header",):
@@ -191,13 +253,14 @@ def parse(text: str) -> Page:
         page.out.append(out)
         page.hints.append(1.0 if tag in ("html", "body") else hint)
         e = len(page.tags) - 1
+        if words:
+            noise[e] = words
         if attrs_text.endswith("/") and tag not in BLOCKS:
             continue
         stack.append(e)
         links += tag == "a"
-        if tag == "form" and not (parent >= 0 and page.out[parent]):
-            forms.append(e)
     flush()
+    _settle(page, noise, owners)
     return page
 
 
