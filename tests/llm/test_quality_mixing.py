@@ -310,3 +310,25 @@ def test_html_wrappers_with_noise_names_keep_their_article():
         assert html.extract(page) == want, page
     assert html.extract(f"<body><div class='post'>{inner}</div><div hidden><p>{long * 3}</p></div></body>") == want
     assert html.extract(f"<body><div class='post'>{inner}</div><div class='Notice'>{long[:90]}</div></body>") == want
+
+
+def test_html_takes_the_article_around_the_content(spark):
+    story = "What the page has to say, in a sentence that goes on. " * 20
+    title, lead, after = "A headline of forty characters, no fewer", "A lead that stands before the content. " * 3, "A note after it."
+    body = f"<h1>{title}</h1><p>{lead}</p><div class='entry-content'><p>{story}</p></div><p>{after}</p>"
+    want = "\n\n".join([title, lead.strip(), story.strip(), after])
+    links = "<div><p><a href=/1>Another story of this site</a></p></div>"
+    path = ">div.entry-content"
+    for around, at in (("<html><body><article>{}</article>%s</body></html>", ">html>body>article"),
+                       ("<html><body><main>{}</main>%s</body></html>", ">html>body>main"),
+                       ("<html><body><div class='x'>{}</div>%s</body></html>", ">html>body>div.x"),
+                       ("<html><body>{}%s</body></html>", None)):
+        page = (around % (links if at else "")).format(body)
+        assert html.extract(page) == want, page
+        assert html.extract(page, (at or ">html>body") + path) == want, page
+    # a host's path that holds a third of the page's own article, inside of it
+    third = f"<html><body><div class='story'><p>{story * 2}</p><p><a href=/>more</a></p><div class='b'><p>{story}</p></div></div></body></html>"
+    assert html.extract(third, ">html>body>div.story>div.b") == html.extract(third)
+    rows = [(k, f"http://h.example/{k}", f"<html><body><article>{body}</article>{links}</body></html>") for k in range(4)]
+    got = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [r["text"] for r in got] == [want] * 4

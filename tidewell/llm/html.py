@@ -5,8 +5,8 @@ lets the page vote with its best containers' generalised tag-class paths
 (digits in class names become ``#``). Spark sums the votes per (host, path) -
 partial sums per map task, so a hot host is a few rows by then - and each host
 gets the path with most votes. Pass 2 parses again and takes the blocks under
-the host's path; a page without it, or with little of its text there, falls
-back to its own best container.
+the host's path, up to the article around them; a page without it, or with
+little of its text there, falls back to its own best container.
 
 Results for odd rows: null or empty html gives an empty text, and so does a
 page without text blocks; a null or unparsable url belongs to the host ``''``;
@@ -289,27 +289,89 @@ def best_path(page: Page) -> str | None:
     return max(found, key=lambda k: (found[k], k)) if found else None
 
 
-def under(page: Page, path: str | None) -> list[str]:
-    """Texts of the blocks inside the containers of that path, in page order."""
+def _climb(page: Page, chosen: set[int]) -> set[int]:
+    """The elements that hold the whole article of the chosen containers.
+
+    Each goes up to the article (else main) around it. Where there is none it goes up
+    while the parent adds only blocks that are no links, short of body and html; from
+    there on (and for body and html) while the parent adds only such blocks of its own,
+    a headline or lead beside the container.
+    """
+    size = len(page.tags)
+    own_blocks, total, links = [0] * size, [0] * size, [0] * size  # blocks, links among them
+    for e, text, link_chars in page.blocks:
+        if e >= 0:
+            own_blocks[e] += 1
+            total[e] += 1
+            links[e] += 2 * link_chars > len(text)
+    article: list[int] = []  # the outermost article around an element, else the outermost main
+    for e, p in enumerate(page.parents):
+        top = article[p] if p >= 0 else -1
+        if page.tags[e] == "article" and (top < 0 or page.tags[top] == "main"):
+            top = e
+        article.append(e if page.tags[e] == "main" and top < 0 else top)
+    tops = {article[e] if article[e] >= 0 else e for e in chosen}
+    covered: list[bool] = []
+    for e, p in enumerate(page.parents):
+        covered.append(e in tops or (p >= 0 and covered[p]))
+    # blocks and links that stand in no chosen container
+    more = [0 if covered[e] else total[e] for e in range(size)]
+    more_links = [0 if covered[e] else links[e] for e in range(size)]
+    for e in range(size - 1, -1, -1):  # children come after their parents
+        p = page.parents[e]
+        if p >= 0:
+            total[p] += total[e]
+            more[p] += more[e]
+            more_links[p] += more_links[e]
+    out: set[int] = set()
+    seen: set[tuple[int, bool]] = set()
+    for e in sorted(tops):
+        if not total[e]:
+            continue
+        own = article[e] >= 0  # only the parent's own blocks may be added
+        while (e, own) not in seen:
+            seen.add((e, own))
+            p = page.parents[e]
+            own = own or p < 0 or page.tags[p] in ("html", "body")
+            if p < 0 or more_links[p] > more_links[e] or (own and more[p] - more[e] > own_blocks[p]):
+                out.add(e)
+                break
+            e = p
+    return out
+
+
+def _under(page: Page, path: str | None) -> list[int]:
+    """Places of the blocks in the articles around the containers of that path, in page order."""
     if path is None:
-        return [b for _, b, _ in page.blocks]
+        return list(range(len(page.blocks)))
+    tops = _climb(page, {e for e, p in enumerate(page.paths) if p == path and page.tags[e] in CONTAINERS})
     inside: list[bool] = []
     for e, p in enumerate(page.parents):
-        inside.append((page.paths[e] == path and page.tags[e] in CONTAINERS) or (p >= 0 and inside[p]))
-    return [b for e, b, _ in page.blocks if e >= 0 and inside[e]]
+        inside.append(e in tops or (p >= 0 and inside[p]))
+    return [k for k, (e, _, _) in enumerate(page.blocks) if e >= 0 and inside[e]]
+
+
+def under(page: Page, path: str | None) -> list[str]:
+    """Texts of those blocks."""
+    return [page.blocks[k][1] for k in _under(page, path)]
 
 
-def extract(text: str | None, path: str | None = None, least: float = 0.3) -> str:
-    """The main text; ``path`` is the host's, used if it holds ``least`` of what the page's own best holds."""
+def extract(text: str | None, path: str | None = None, least: float = 0.3, nearly: float = 0.95) -> str:
+    """The main text; ``path`` is the host's.
+
+    It is used if it holds ``least`` of what the page's own best holds, and ``nearly``
+    all of it where it is a part of the page's own best.
+    """
     if not text:
         return ""
     page = parse(text)
-    own = under(page, best_path(page))
+    size = lambda places: sum(len(page.blocks[k][1]) for k in places)
+    own = _under(page, best_path(page))
     if path is not None:
-        given = under(page, path)
-        if given and sum(map(len, given)) >= least * sum(map(len, own)):
+        given = _under(page, path)
+        if given and size(given) >= (nearly if set(given) <= set(own) else least) * size(own):
             own = given
-    return "\n\n".join(own)
+    return "\n\n".join(page.blocks[k][1] for k in own)
 
 
 def host(url):
