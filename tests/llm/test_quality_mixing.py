@@ -332,3 +332,12 @@ def test_html_takes_the_article_around_the_content(spark):
     rows = [(k, f"http://h.example/{k}", f"<html><body><article>{body}</article>{links}</body></html>") for k in range(4)]
     got = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert [r["text"] for r in got] == [want] * 4
+
+
+def test_html_without_html_and_body_tags():
+    para = "A paragraph that stands outside of every container. " * 3
+    page = f"<h1>T</h1><p>{para}</p><p>{para}</p><div>short</div>"
+    want = ["T", para.strip(), para.strip(), "short"]
+    assert html.extract(page) == html.extract(page, "") == "\n\n".join(want)
+    assert html.extract(page + "<nav><p>menu</p></nav><div class='ads'>Buy</div>") == "\n\n".join(want)
+    assert max(html.scores(html.parse(page)).items(), key=lambda x: x[1])[0] == ""

@@ -8,6 +8,8 @@ gets the path with most votes. Pass 2 parses again and takes the blocks under
 the host's path, up to the article around them; a page without it, or with
 little of its text there, falls back to its own best container.
 
+A page has an implied root container, for the text outside all others; its path is ''.
+
 Results for odd rows: null or empty html gives an empty text, and so does a
 page without text blocks; a null or unparsable url belongs to the host ``''``;
 repeated rows give repeated rows; an empty table gives an empty table.
@@ -32,7 +34,9 @@ RAW = frozenset("script style noscript template iframe object svg math canvas au
                 "select button option datalist".split())
 #: Elements left out with all they hold.
 LEFT_OUT = frozenset("head nav footer aside form dialog menu fieldset".split())
-CONTAINERS = frozenset("html body main article section div td center blockquote".split())
+#: What holds the blocks outside every other container: both <html> and <body> may be left out.
+ROOT = "#root"
+CONTAINERS = frozenset("html body main article section div td center blockquote".split()) | {ROOT}
 BLOCKS = frozenset("html body main article section div td th tr table thead tbody tfoot center blockquote p h1 h2 "
                    "h3 h4 h5 h6 ul ol li dl dt dd pre figure figcaption header footer nav aside form address hr "
                    "caption details summary fieldset dialog menu hgroup search".split())
@@ -115,8 +119,7 @@ def _settle(page: Page, noise: dict[int, frozenset[str]], owners: list[int]) ->
     title = [t == "h1" for t in page.tags]
     main = [t == "main" for t in page.tags]
     for e, (_, text, links) in zip(owners, page.blocks):
-        if e >= 0:
-            size[e] += max(0, len(text) - 2 * links)
+        size[e] += max(0, len(text) - 2 * links)
     whole = sum(max(0, len(text) - 2 * links) for _, text, links in page.blocks)
     for e in range(len(page.tags) - 1, -1, -1):
         p = page.parents[e]
@@ -141,7 +144,7 @@ def _settle(page: Page, noise: dict[int, frozenset[str]], owners: list[int]) ->
     named = [not main[e] and bool(noise.get(e, frozenset()) - void) for e in range(len(page.tags))]
     for e, p in enumerate(page.parents):
         named[e] |= p >= 0 and named[p]
-    kept = [b for e, b in zip(owners, page.blocks) if e < 0 or not named[e]]
+    kept = [b for e, b in zip(owners, page.blocks) if not named[e]]
     if kept:
         page.blocks = kept
         page.out = [a or b for a, b in zip(page.out, named)]
@@ -149,15 +152,15 @@ def _settle(page: Page, noise: dict[int, frozenset[str]], owners: list[int]) ->
 
 def parse(text: str) -> Page:
     """A forgiving reader: unclosed, misnested and cut-off markup all give blocks."""
-    page = Page()
-    stack: list[int] = []  # open elements
+    page = Page([ROOT], [""], [-1], [False], [1.0])
+    stack: list[int] = [0]  # open elements; no end tag closes the root
     buf: list[str] = []
     at, links, link_chars = 0, 0, 0
     noise: dict[int, frozenset[str]] = {}
     owners: list[int] = []  # the innermost element of each block
 
     def container() -> int:
-        return next((e for e in reversed(stack) if page.tags[e] in CONTAINERS), -1)
+        return next(e for e in reversed(stack) if page.tags[e] in CONTAINERS)
 
     def flush() -> None:
         nonlocal link_chars
@@ -165,9 +168,9 @@ def parse(text: str) -> Page:
             raw = "".join(buf)
             buf.clear()
             clean = " ".join(entities.unescape(raw).split())
-            if clean and not (stack and page.out[stack[-1]]):
+            if clean and not page.out[stack[-1]]:
                 page.blocks.append((container(), clean, link_chars))
-                owners.append(stack[-1] if stack else -1)
+                owners.append(stack[-1])
         link_chars = 0
 
     def close(upto: int) -> None:
@@ -234,14 +237,14 @@ def parse(text: str) -> Page:
                     break
                 if t in ("ul", "ol", "dl", "table") or t in CONTAINERS:
                     break
-        parent = stack[-1] if stack else -1
+        parent = stack[-1]
         inside = any(page.tags[e] in ("article", "main") for e in stack)
         left_out = _left_out(tag, attrs, inside)
         words = _noise(tag, attrs)
-        out = (parent >= 0 and page.out[parent]) or left_out
+        out = page.out[parent] or left_out
         if (left_out or words) and tag not in BLOCKS:
             flush()
-        base = page.paths[parent] if parent >= 0 else ""
+        base = page.paths[parent]
         if tag in CONTAINERS or tag in ("header",):
             names = sorted({DIGITS.sub("#", c) for c in attrs.get("class", "").lower().split()})
             base = f"{base}>{tag}" + "".join(f".{c}" for c in names)
@@ -268,8 +271,7 @@ def scores(page: Page) -> dict[str, float]:
     """Path -> score: characters outside links in a container's own blocks, and 0.6 of its inner containers'."""
     own: dict[int, float] = defaultdict(float)
     for e, text, links in page.blocks:
-        if e >= 0:
-            own[e] += max(0, len(text) - 2 * links)
+        own[e] += max(0, len(text) - 2 * links)
     total: dict[int, float] = dict(own)
     for e in range(len(page.tags) - 1, -1, -1):  # children come after their parents
         s = total.get(e, 0.0)
@@ -293,17 +295,16 @@ def _climb(page: Page, chosen: set[int]) -> set[int]:
     """The elements that hold the whole article of the chosen containers.
 
     Each goes up to the article (else main) around it. Where there is none it goes up
-    while the parent adds only blocks that are no links, short of body and html; from
-    there on (and for body and html) while the parent adds only such blocks of its own,
+    while the parent adds only blocks that are no links, short of body, html and root;
+    from there on (and for these) while the parent adds only such blocks of its own,
     a headline or lead beside the container.
     """
     size = len(page.tags)
     own_blocks, total, links = [0] * size, [0] * size, [0] * size  # blocks, links among them
     for e, text, link_chars in page.blocks:
-        if e >= 0:
-            own_blocks[e] += 1
-            total[e] += 1
-            links[e] += 2 * link_chars > len(text)
+        own_blocks[e] += 1
+        total[e] += 1
+        links[e] += 2 * link_chars > len(text)
     article: list[int] = []  # the outermost article around an element, else the outermost main
     for e, p in enumerate(page.parents):
         top = article[p] if p >= 0 else -1
@@ -332,7 +333,7 @@ def _climb(page: Page, chosen: set[int]) -> set[int]:
         while (e, own) not in seen:
             seen.add((e, own))
             p = page.parents[e]
-            own = own or p < 0 or page.tags[p] in ("html", "body")
+            own = own or p < 0 or page.tags[p] in ("html", "body", ROOT)
             if p < 0 or more_links[p] > more_links[e] or (own and more[p] - more[e] > own_blocks[p]):
                 out.add(e)
                 break
@@ -348,7 +349,7 @@ def _under(page: Page, path: str | None) -> list[int]:
     inside: list[bool] = []
     for e, p in enumerate(page.parents):
         inside.append(e in tops or (p >= 0 and inside[p]))
-    return [k for k, (e, _, _) in enumerate(page.blocks) if e >= 0 and inside[e]]
+    return [k for k, (e, _, _) in enumerate(page.blocks) if inside[e]]
 
 
 def under(page: Page, path: str | None) -> list[str]:
