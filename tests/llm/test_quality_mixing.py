@@ -341,3 +341,25 @@ def test_html_without_html_and_body_tags():
     assert html.extract(page) == html.extract(page, "") == "\n\n".join(want)
     assert html.extract(page + "<nav><p>menu</p></nav><div class='ads'>Buy</div>") == "\n\n".join(want)
     assert max(html.scores(html.parse(page)).items(), key=lambda x: x[1])[0] == ""
+
+
+def test_wrapped_notices_are_found(spark):
+    """Each template's own words in lines of 30 to 60 characters, as in source headers and licence files."""
+    import textwrap
+
+    rows, want = [], {}
+    for k, (label, text) in enumerate(licenses.TEMPLATES):
+        for width, mark in ((30, ""), (60, " * "), (45, "# ")):
+            i = len(rows)
+            lines = textwrap.wrap("Copyright (c) 2020 The Authors. " + text + ". See the file for more.", width)
+            rows.append((i, "int main() {}\n\n" + "\n".join(mark + x for x in lines) + "\n\nThe end of it.\n" * 20))
+            want[i] = label
+    rows.append((len(rows), "Released\n" + "a b c d e f g h\n" * 9 + "under the\n" + "a b c d e f g h\n" * 9 + "MIT\nLicense"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"].split(","), r["score"]) for r in licenses.scan(docs).collect()}
+    assert all(label in got[i][0] and got[i][1] == 1.0 for i, label in want.items())
+    assert got[len(rows) - 1][0] == ["mit"]  # the base phrase only
+    # scattered over more words than the template has: no notice
+    apart = [(1, "Released\n" + "a b c d e f g h\n" * 9 + "under the\n" + "a b c d e f g h\n" * 9 + "MIT\nor other License")]
+    row = licenses.scan(spark.createDataFrame(apart, "doc_id long, text string")).first()
+    assert (row["labels"], row["score"]) == ("", 0.0)

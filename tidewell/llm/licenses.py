@@ -1,8 +1,10 @@
 """Operator 8: license scan by an exact set-similarity join (DataFrame functions only).
 
 Base labels come from phrases whose words stand consecutively. Further labels
-come from notice templates: a text block (a line) has a template's label if it
-holds at least ``THRESHOLD`` of the template's distinct words.
+come from notice templates: a text block has a template's label if it holds at
+least ``THRESHOLD`` of the template's distinct words. Blocks are the lines, and,
+as notices are wrapped, every run of as many words as the template has,
+whatever lines it stands on.
 
 The join finds every such pair. Template words are ordered by the number of
 documents that hold them, rarest first, so a block that shares ``need`` of a
@@ -10,8 +12,11 @@ template's n words must hold one of its first n - need + 1 (prefix filter), must
 itself have ``need`` distinct words (length filter), and, when its first shared
 word is the template's j-th, must still be able to reach ``need`` with the
 words from there on in both orders (positional filter). A pair is taken at its
-first shared prefix word only, then its overlap is counted exactly. The
-templates are a bounded parameter; they are the broadcast side.
+first shared prefix word only, then its overlap is counted exactly. Runs of words
+go through the join in chunks: chunks of twice the longest template, each half
+overlapping the next, hold every run whole, so a chunk meets what its runs meet;
+of the chunks that pass, the best run is counted. The templates are a bounded
+parameter; they are the broadcast side.
 
 Matches are grouped by text (128 bits of hash), because they depend on the text
 alone; so repeated rows and null ids need no key of their own.
@@ -98,24 +103,32 @@ def prefixes(templates: list[tuple[str, str]], frequency: dict[str, int], thresh
     for k, (label, text) in enumerate(templates):
         ws = sorted(set(words_of(text)), key=lambda w: (frequency[w], w))
         need = math.ceil(threshold * len(ws) - 1e-9)
-        out.append({"template": k, "label": label, "words": ws, "need": need, "prefix": ws[:len(ws) - need + 1]})
+        out.append({"template": k, "label": label, "words": ws, "length": len(words_of(text)), "need": need,
+                    "prefix": ws[:len(ws) - need + 1]})
     return out
 
 
 def similar_blocks(blocks: DataFrame, plan: list[dict]) -> DataFrame:
-    """Blocks (k1, k2, words: distinct) x templates with enough containment: (k1, k2, template, label, share)."""
+    """Blocks (k1, k2, words, run) x templates with enough containment: (k1, k2, template, label, share).
+
+    ``words`` are distinct. ``run`` is null, or a chunk's words in order: then the best of its runs of the
+    template's length counts.
+    """
     spark = blocks.sparkSession
-    rows = [(t["prefix"][j], t["template"], t["label"], t["words"], t["need"], j, t["prefix"][:j])
+    rows = [(t["prefix"][j], t["template"], t["label"], t["words"], t["length"], t["need"], j, t["prefix"][:j])
             for t in plan for j in range(len(t["prefix"]))]
-    side = spark.createDataFrame(rows, "word string, template int, label string, twords array<string>, need int, "
-                                       "place int, before array<string>")
+    side = spark.createDataFrame(rows, "word string, template int, label string, twords array<string>, length int, "
+                                       "need int, place int, before array<string>")
     firsts = _quoted(sorted({r[0] for r in rows}))
     shared = blocks.withColumn("hit", F.expr(f"array_intersect(words, {firsts})")).where("size(hit) > 0")
-    met = shared.select("k1", "k2", "words", F.explode("hit").alias("word")).join(F.broadcast(side), "word")
+    met = shared.select("k1", "k2", "words", "run", F.explode("hit").alias("word")).join(F.broadcast(side), "word")
     met = met.where("size(words) >= need")  # length
     met = met.where("size(twords) - place >= need")  # position: words left from here on
     met = met.where("not arrays_overlap(words, before)")  # first shared prefix word
     met = met.withColumn("overlap", F.expr("size(array_intersect(words, twords))")).where("overlap >= need")
+    best = ("array_max(transform(sequence(1, greatest(1, size(run) - length + 1)), "
+            "i -> size(array_intersect(slice(run, i, length), twords))))")
+    met = met.withColumn("overlap", F.expr(f"if(run is null, overlap, {best})")).where("overlap >= need")
     return met.select("k1", "k2", "template", "label", (F.col("overlap") / F.size("twords")).alias("share"))
 
 
@@ -146,19 +159,27 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     base = base.withColumn("places", every)
     labels = F.array_compact(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(label))
                                        for k, label in enumerate(PHRASES.values())]))
-    # Only texts with a rare template word have their lines looked at; of those, the lines long enough.
+    # Only texts with a rare template word have their lines and chunks looked at; of those, the ones long enough.
     lines = F.expr(f"if(arrays_overlap(w, {firsts}), filter(transform(split(text, '\\n'), "
                    f"l -> array_distinct({_words('l')})), b -> size(b) >= {least} and arrays_overlap(b, {firsts})), null)")
+    span = max(t["length"] for t in plan)
+    chunks = F.expr(f"if(contains(text, '\\n') and arrays_overlap(w, {firsts}), filter(transform("
+                    f"sequence(0, greatest(0, (size(w) - 1) div {span})), k -> slice(w, int(k * {span}) + 1, {2 * span})), "
+                    f"b -> size(b) >= {least} and arrays_overlap(b, {firsts})), null)")
     marked = base.select("doc_id", "k1", "k2", F.size("w").cast("long").alias("n_words"),
                          F.size("places").cast("long").alias("n_base"),
                          F.array_min("places").cast("long").alias("first_word"),
                          F.array_max("places").cast("long").alias("last_word"),
-                         F.array_sort(F.array_distinct(labels)).alias("base"), lines.alias("lines"))
+                         F.array_sort(F.array_distinct(labels)).alias("base"), lines.alias("lines"),
+                         chunks.alias("chunks"))
     marked = materialise(marked, "license-marks")
-    blocks = marked.where("size(lines) > 0").select("k1", "k2", F.explode("lines").alias("words"))
+    blocks = marked.where("size(lines) > 0").select("k1", "k2", F.explode("lines").alias("words")).withColumn(
+        "run", F.lit(None).cast("array<string>"))
+    runs = marked.where("size(chunks) > 0").select("k1", "k2", F.explode("chunks").alias("run"))
+    blocks = blocks.unionByName(runs.withColumn("words", F.array_distinct("run")))
     found = similar_blocks(blocks, plan).groupBy("k1", "k2").agg(
         F.collect_set("label").alias("more"), F.max("share").alias("share"))
-    met = attach(marked.drop("lines"), materialise(found, "license-found"), ["k1", "k2"])
+    met = attach(marked.drop("lines", "chunks"), materialise(found, "license-found"), ["k1", "k2"])
     both = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
     return met.select("doc_id", "n_words", "n_base", "first_word", "last_word",
                       F.array_join("base", ",").alias("base_labels"), F.array_join(both, ",").alias("labels"),
