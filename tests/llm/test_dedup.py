@@ -213,3 +213,43 @@ def test_units_cover_the_text():
     assert [text[a:b] for a, b, _ in units.units(text)] == ["One two.", "Three", "four?", "five!", "six 3.5 seven."]
     assert [text[a:b] for a, b, _ in units.units(text, "line")] == ["One two. Three", "four?  five!", "six 3.5 seven."]
     assert len(list(units.units(text, "paragraph"))) == 2
+
+
+def test_shared_passages_go_whole_and_lone_short_lines_stay(spark):
+    passage = "The mill by the river turned all through the night. No one came. It was late. Why?\nThen it stopped, and the water went on without it."
+    chinese = "这是一个很长的句子它没有任何空格而且在两份文件里都出现"
+    rows = [(1, "Start of one. " + passage + "\nYes.\n" + chinese), (2, "Start of two. " + passage + "\nEnd of two.\nYes.\nOnly here.\n" + chinese),
+            (3, "Yes.\nAnother text that nobody else has ever written down.")]
+    out = units.dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_bytes=units.MIN_BYTES)
+    got = {r[0]: r[1] for r in out.select("row.doc_id", "text").collect()}
+    assert got[1] == rows[0][1] and got[3] == rows[2][1]
+    assert " ".join(got[2].split()) == "Start of two. End of two. Yes. Only here."
+
+
+def test_registered_unit_dedup_matches_brute_force(spark):
+    from tidewell.llm import registry
+
+    rows = [tuple(r) for r in fixtures.documents(spark).select("doc_id", "text").collect()]
+    texts = {i: [(a, b, w.translate(units._LOWER)) for a, b, w in units.units(t or "")] for i, t in rows}
+    first = {}
+    for i in sorted(texts):
+        for _, _, w in texts[i]:
+            first.setdefault(w, i)
+    want = {}
+    for i, found in texts.items():
+        seen, repeated = set(), []
+        for _, _, w in found:
+            repeated.append(first[w] != i or w in seen)
+            seen.add(w)
+        want[i] = []
+        for k, (a, b, _) in enumerate(found):
+            lo, hi = k, k
+            while lo and repeated[lo - 1]:
+                lo -= 1
+            while hi + 1 < len(found) and repeated[hi + 1]:
+                hi += 1
+            if repeated[k] and any(len(found[j][2].encode()) >= units.MIN_BYTES for j in range(lo, hi + 1)):
+                want[i].append((a, b))
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]]
+           for r in registry.op10_substring_dedup(spark, "/root/testdata/sf0.001").collect()}
+    assert got == want

@@ -60,7 +60,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.dedup(table(spark, sf_dir, "documents")).select(
+    return units.dedup(table(spark, sf_dir, "documents"), min_bytes=units.MIN_BYTES).select(
         "row.doc_id", "n_units", "n_removed", "removed", "text")
 
 

@@ -5,8 +5,11 @@ passages are often pasted into the middle of a line. Units are normalised (A-Z
 to lower case, white space runs to one space) and hashed to 128 bits. Over the
 whole corpus each digest keeps its earliest occurrence, ranked by doc_id and
 then by place in the text; all others are cut out, and the cuts are reported
-as offsets into the original text. Units of fewer than ``min_words`` words
-are never cut.
+as offsets into the original text. Short units say little alone. With
+``min_bytes`` (the registered query) a repeated unit under that many bytes is
+cut only in a run of repeated units that holds a longer one, so shared passages
+go whole and a lone short line stays; bytes, because a line of Chinese or Thai
+is one word. Without it, units of fewer than ``min_words`` words are never cut.
 
 Inside a document only the first occurrence leaves the map task, and a digest
 is reduced to (smallest doc_id, count) before the shuffle, so a unit that
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import materialise
 
 MIN_WORDS = 6
+MIN_BYTES = 30
 LAST = (1 << 63) - 1
 #: What ends a unit; a sentence ends at . ! or ? before white space, and at the line's end.
 ENDS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n\s*\n"),
@@ -51,26 +55,42 @@ def units(text: str, kind: str = "sentence") -> Iterator[tuple[int, int, str]]:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def _rows(text: str | None, kind: str, min_words: int):
-    """(hi, lo, start, end, first): the countable units; first: not seen before in this text."""
+def _rows(text: str | None, kind: str, min_words: int, min_bytes: int | None = None):
+    """(hi, lo, start, end, first, long): the countable units; first: not seen before in this text."""
     seen, out, n = set(), [], 0
     for a, b, words in units(text or "", kind):
         n += 1
-        if words.count(" ") + 1 < min_words:
+        if min_bytes is None and words.count(" ") + 1 < min_words:
             continue
-        d = xxhash.xxh3_128_intdigest(words.translate(_LOWER).encode("utf-8", "surrogatepass"))
-        out.append(((d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63), a, b, d not in seen))
+        raw = words.translate(_LOWER).encode("utf-8", "surrogatepass")
+        d = xxhash.xxh3_128_intdigest(raw)
+        out.append(((d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63), a, b, d not in seen,
+                    min_bytes is None or len(raw) >= min_bytes))
         seen.add(d)
     return n, out
 
 
+def _spans(found: list[tuple], gone) -> list[tuple[int, int]]:
+    """The units to cut: the repeated ones in runs of repeated units that hold a long one."""
+    out: list[tuple[int, int]] = []
+    run: list[tuple[int, int, bool]] = []
+    for hi, lo, a, b, first, long in [*found, (0, 0, 0, 0, None, False)]:
+        if first is False or (first and (hi, lo) in gone):
+            run.append((a, b, long))
+            continue
+        if any(x[2] for x in run):
+            out += [(a, b) for a, b, _ in run]
+        run = []
+    return out
+
+
 def occurrences(docs: DataFrame, kind: str = "sentence", min_words: int = MIN_WORDS,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", min_bytes: int | None = None) -> DataFrame:
     """(rank, hi, lo): one row for each distinct unit of each document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(r, u[0], u[1]) for r, t in zip(b["rank"], b["text"])
-                    for u in _rows(t, kind, min_words)[1] if u[4]]
+                    for u in _rows(t, kind, min_words, min_bytes)[1] if u[4]]
             yield pd.DataFrame(rows, columns=["rank", "hi", "lo"]).astype("int64")
 
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("rank"),
@@ -79,9 +99,9 @@ def occurrences(docs: DataFrame, kind: str = "sentence", min_words: int = MIN_WO
 
 
 def later_units(docs: DataFrame, kind: str = "sentence", min_words: int = MIN_WORDS,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", min_bytes: int | None = None) -> DataFrame:
     """(rank, cut): per document the digests of units that an earlier document holds."""
-    found = materialise(occurrences(docs, kind, min_words, id_col, text_col), "units")
+    found = materialise(occurrences(docs, kind, min_words, id_col, text_col, min_bytes), "units")
     first = found.groupBy("hi", "lo").agg(F.min("rank").alias("first"), F.max("rank").alias("last")
                                           ).where("first < last").drop("last")
     later = found.join(first, ["hi", "lo"]).where("rank > first")
@@ -89,10 +109,10 @@ def later_units(docs: DataFrame, kind: str = "sentence", min_words: int = MIN_WO
 
 
 def dedup(docs: DataFrame, kind: str = "sentence", min_words: int = MIN_WORDS,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", min_bytes: int | None = None) -> DataFrame:
     """(row, text, n_units, n_removed, removed): ``row`` is the struct of the input columns, ``text``
     what remains, ``removed`` the cut spans as [start, end) code points of the original text."""
-    cuts = later_units(docs, kind, min_words, id_col, text_col)
+    cuts = later_units(docs, kind, min_words, id_col, text_col, min_bytes)
     r = F.col("row")
     rows = docs.select(F.struct("*").alias("row")).withColumn(
         "rank", F.coalesce(r[id_col].cast("long"), F.lit(LAST)))
@@ -103,8 +123,8 @@ def dedup(docs: DataFrame, kind: str = "sentence", min_words: int = MIN_WORDS,
         out = []
         for t, c in zip(text, cut):
             gone = {(x["hi"], x["lo"]) for x in c} if c is not None else ()
-            n, found = _rows(t, kind, min_words)
-            spans = [(a, b) for hi, lo, a, b, first in found if not first or (hi, lo) in gone]
+            n, found = _rows(t, kind, min_words, min_bytes)
+            spans = _spans(found, gone)
             out.append((n, [{"start": a, "end": b} for a, b in spans], _without(t, spans)))
         return pd.DataFrame(out, columns=["n_units", "removed", "text"])
 
