@@ -253,3 +253,11 @@ def test_registered_unit_dedup_matches_brute_force(spark):
     got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]]
            for r in registry.op10_substring_dedup(spark, "/root/testdata/sf0.001").collect()}
     assert got == want
+
+
+def test_keep_first_tells_rows_of_one_id_apart(spark):
+    other = "Nine barges went down the canal before the ice closed it and nobody counted those that came back in spring. " * 5
+    rows = [(1, fixtures.LONG), (2, other), (2, fixtures.LONG), (3, fixtures.LONG * 2 + other * 7), (3, "An apple fell on the old man's hat. " * 8),
+            (3, "An apple fell on the old man's hat. " * 8)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert key([tuple(r) for r in kept.collect()]) == key(rows[:2] + rows[3:5])

@@ -132,9 +132,8 @@ def near_pairs(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     return met.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp, component_id, component_size (documents)."""
+def _placed(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, fp, root, component_id, component_size."""
     marks = materialise(fingerprints(docs, words, id_col, text_col), "simhash-marks")
     classes = materialise(marks.groupBy("fp").agg(F.min("doc_id").alias("first"),
                                                   F.count(F.lit(1)).alias("n")), "simhash-classes")
@@ -144,9 +143,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col:
     # Only classes that hang together need the sums; the others are their own component.
     tops = placed.groupBy("root").agg(F.min("first").alias("component_id"),
                                       F.sum("n").alias("component_size"))
-    per_class = materialise(placed.join(tops, "root").select("fp", "component_id", "component_size"),
+    per_class = materialise(placed.join(tops, "root").select("fp", "root", "component_id", "component_size"),
                             "simhash-components")
-    return marks.join(per_class, "fp").select("doc_id", "fp", "component_id", "component_size")
+    return marks.join(per_class, "fp").select("doc_id", "fp", "root", "component_id", "component_size")
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, fp, component_id, component_size (documents)."""
+    return _placed(docs, words, max_bits, id_col, text_col).drop("root")
 
 
 def fp_hex(fp):
@@ -156,15 +161,30 @@ def fp_hex(fp):
 def keep_first(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` without near duplicates: of each component the row of its smallest doc_id.
 
-    Of repeated rows with that doc_id one stays. Rows with a null doc_id cannot
-    be named as members and pass unchanged. The texts meet the ids that go (and
-    the repeated ones), not those that stay: the shorter list of the two.
+    Rows that share a doc_id are told apart by their texts: each component that starts
+    with it keeps one of them, of the smallest fingerprint, then text hash. Rows with a
+    null doc_id cannot be named as members and pass unchanged. The texts meet the ids
+    that go (and the repeated ones), not those that stay: the shorter list of the two.
     """
-    found = near_duplicates(docs, words, max_bits)
-    odd = materialise(found.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count_if(F.col("doc_id") == F.col("component_id")).alias("n")).where("n <> 1"), "simhash-odd")
+    found = _placed(docs, words, max_bits, "doc_id", "text").where("doc_id is not null")
+    first = F.col("doc_id") == F.col("component_id")
+    odd = materialise(found.groupBy("doc_id").agg(
+        F.count_if(first).alias("n"), F.count(F.lit(1)).alias("rows")).where("n <> 1 or rows > 1"), "simhash-odd")
     kept = docs.join(odd.select("doc_id"), "doc_id", "left_anti")
-    again = odd.where("n > 1").select("doc_id")
+    again = odd.where("n > 0").select("doc_id")
     if not again.isEmpty():
-        kept = kept.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        firsts = found.where(first).join(again, "doc_id", "left_semi").groupBy("doc_id", "root").agg(
+            F.min("fp").alias("fp")).select(F.col("doc_id").alias("id__"), F.col("fp").alias("fp__"))
+
+        @F.pandas_udf("long")
+        def mark(text: pd.Series) -> pd.Series:
+            fps = np.fromiter((fingerprint(t, words) for t in text), dtype=np.uint64, count=len(text))
+            return pd.Series(fps.view(np.int64))
+
+        rows = docs.join(again, "doc_id", "left_semi").select(docs.columns).select(F.struct("*").alias("row__"))
+        rows = rows.select("row__", F.col("row__.doc_id").cast("long").alias("id__"),
+                           F.col("row__.text").cast("string").alias("text__"))
+        rows = rows.withColumn("fp__", mark("text__")).join(firsts, ["id__", "fp__"], "left_semi")
+        one = rows.groupBy("id__", "fp__").agg(F.min_by("row__", F.xxhash64("text__")).alias("row__"))
+        kept = kept.unionByName(one.select("row__.*"))
     return kept.select(docs.columns)
