@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from tidewell.llm import licenses, linededup, topk
+from tidewell.llm import centroids, licenses, linededup, topk
 
 _WORDS = r"list_filter(string_split_regex({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _BLANK = r"trim({l}, E' \t\n\x0b\f\r')"
@@ -105,6 +105,33 @@ SELECT q.doc_id, CAST(q.n AS BIGINT) AS n_words, CAST(len(q.at) AS BIGINT) AS n_
 FROM q LEFT JOIN g USING (rid)"""
 
 
+def _centroids() -> str:
+    near = """SELECT v.rid, arg_min(c.c, (d.d, c.c)) AS c, min(d.d) AS d FROM v, {c} c,
+       LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d) d
+       GROUP BY v.rid"""
+    steps = []
+    for k in range(centroids.ROUNDS):
+        steps.append(f"""n{k} AS MATERIALIZED ({near.format(c=f"c{k}")}),
+s{k} AS (SELECT n.c, u.i, sum(v.x[u.i]) AS s, count(*) AS n FROM n{k} n JOIN v USING (rid),
+         unnest(range(1, {centroids.DIMENSIONS + 1})) AS u(i) GROUP BY n.c, u.i),
+m{k} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{k} GROUP BY c),
+c{k + 1} AS MATERIALIZED (SELECT c.c, CAST(coalesce(m.x, c.x) AS BIGINT[]) AS x FROM c{k} c LEFT JOIN m{k} m USING (c))""")
+    last = f"c{centroids.ROUNDS}"
+    return f"""
+WITH w AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS e
+           FROM embeddings),
+v AS MATERIALIZED (SELECT rid, vec_id, list_transform(e, lambda y: CAST(floor(y * {centroids.SCALE}) AS BIGINT)) AS x
+     FROM w WHERE len(e) = {centroids.DIMENSIONS} AND len(list_filter(e, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id) NULLS LAST, x) - 1 AS c, x
+     FROM v QUALIFY c < {centroids.K}),
+{", ".join(steps)},
+z AS MATERIALIZED ({near.format(c=last)})
+SELECT v.vec_id, CAST(z.c AS INTEGER) AS cluster, CAST(z.d AS BIGINT) AS distance,
+       CAST(sum(z.d) OVER (PARTITION BY z.c) AS BIGINT) AS cluster_inertia, CAST(sum(z.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM z JOIN v USING (rid) JOIN {last} c ON c.c = z.c"""
+
+
 def sql() -> dict[str, str]:
     return {"op4_quality_ledger": _quality(), "op5_exact_topk": _topk(), "op7_line_dedup": _lines(),
-            "op8_license_scan": _licenses()}
+            "op8_license_scan": _licenses(), "op13_centroid_clustering": _centroids()}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import (html, licenses, linededup, mixing, oracle, packing, quality, simhash, suffix,
-                          topk, units)
+from tidewell.llm import (centroids, classifier, html, licenses, linededup, mixing, oracle, packing, quality, simhash,
+                          suffix, topk, units, whitening)
 from tidewell.llm.common import table
 
 
@@ -64,9 +64,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_units", "n_removed", "removed", "text")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        centroids.digest_col().alias("centroid_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = [op1_simhash_near_dedup, op2_temperature_mixing, op3_html_consensus, op4_quality_ledger, op5_exact_topk,
-           op6_best_fit_packing, op7_line_dedup, op8_license_scan, op9_suffix_dedup, op10_substring_dedup]
+           op6_best_fit_packing, op7_line_dedup, op8_license_scan, op9_suffix_dedup, op10_substring_dedup,
+           op11_quality_classifier, op12_embedding_whitening, op13_centroid_clustering]
     return {f.__name__: f for f in ops}
 
 
