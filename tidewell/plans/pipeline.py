@@ -173,8 +173,10 @@ def run_gold(spark: SparkSession, silver_base: str, out_base: str, refs: Referen
     """Gold job: silver -> star -> contracts + FKs + invariants -> all-or-nothing publish."""
     silver = {e: spark.read.parquet(os.path.join(silver_base, "silver", e)) for e in BRONZE_CONTRACTS}
     began, day = time.monotonic(), refs.dormancy_ref.isoformat()
-    # written first: the checks read what is published, not the plan that made it
-    star = {k: materialise(v, f"star-{k}") for k, v in st.build_star(silver, refs.dormancy_ref).items()}
+    gold = os.path.join(out_base, "gold")
+    # written once, where no reader looks yet: the checks read what a commit publishes
+    written = sinks.write_unpublished(st.build_star(silver, refs.dormancy_ref), GOLD_WRITE_ORDER, gold, run_id)
+    star = {name: spark.read.parquet(os.path.join(gold, info["path"])) for name, info in written.items()}
     checks = [dq.run_contract(star[n], n, GOLD_CONTRACTS[n], refs.dormancy_ref) for n in GOLD_WRITE_ORDER]
     fk = dq.run_foreign_keys(star, GOLD_CONTRACTS)
     if fk is not None:
@@ -182,8 +184,7 @@ def run_gold(spark: SparkSession, silver_base: str, out_base: str, refs: Referen
     checks.append(st.invariants(star, silver))
     allc = _settled(checks, "gold")
     summ = sinks.summary(allc)
-    pub = sinks.publish_all_or_nothing(star, GOLD_WRITE_ORDER, os.path.join(out_base, "gold"),
-                                       allc, fail_on_error)
+    pub = sinks.publish_all_or_nothing(spark, written, gold, run_id, allc, fail_on_error)
     at = f"{day}T00:00:00+00:00"
     sinks.write_dq_report(allc, out_base, day, run_id, at, "gold")
     sizes = {name: _written(info) for name, info in pub.get("tables", {}).items()}

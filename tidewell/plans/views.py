@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from ..config import GOLD_WRITE_ORDER
 from ..session import stored_bytes
+from ..sinks import manifest
 from . import marts
 
 SILVER_TABLES = ["players", "deposits", "bets", "campaigns", "campaign_touchpoints"]
@@ -22,10 +23,13 @@ SILVER_TABLES = ["players", "deposits", "bets", "campaigns", "campaign_touchpoin
 def register_tables(spark: SparkSession, base: str, database: str = "lakehouse") -> list[str]:
     """(Re)create the database and one external table per published folder, on any file system.
 
-    The DQ report is JSON lines with its partitions in the path; the others are Parquet.
+    The DQ report is JSON lines with its partitions in the path; the others are Parquet. The star's
+    tables are those of one published manifest (folders without a manifest are taken as they are).
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    folders = ([(name, ("gold", name), "parquet") for name in GOLD_WRITE_ORDER]
+    published = manifest.load(spark, os.path.join(base, "gold"))
+    star = {name: info["path"] for name, info in published["tables"].items()} if published else {}
+    folders = ([(name, ("gold", star.get(name, name)), "parquet") for name in GOLD_WRITE_ORDER]
                + [(f"silver_{name}", ("silver", name), "parquet") for name in SILVER_TABLES]
                + [("fx_rates", ("reference", "fx_rates", "current"), "parquet"),
                   ("dq_report", ("quality", "dq_report"), "json")])

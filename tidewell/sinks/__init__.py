@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ERROR
 from ..session import stored_bytes
+from . import manifest
 
 
 class DataQualityError(RuntimeError):
@@ -77,16 +78,23 @@ def publish_snapshot(df: DataFrame, base: str, snapshot_date: str, run_id: str)
     return {**info, "snapshot": snap, "current": os.path.join(base, "current")}
 
 
-def publish_all_or_nothing(tables: dict[str, DataFrame], order: list[str], base: str,
+def write_unpublished(tables: dict[str, DataFrame], order: list[str], base: str, run_id: str) -> dict[str, dict]:
+    """K6, first half: write every table once, in ``order`` (dimensions first), where no reader looks yet."""
+    out, run = {}, manifest.run_folder(run_id)
+    for name in order:
+        info = write_parquet(tables[name], os.path.join(base, name, run), "overwrite")
+        out[name] = {**info, "path": f"{name}/{run}"}
+    return out
+
+
+def publish_all_or_nothing(spark: SparkSession, written: dict[str, dict], base: str, run_id: str,
                            checks: DataFrame, fail_on_error: bool = True) -> dict:
-    """K6: write every table in ``order`` (dimensions first) only if no ERROR failed."""
+    """K6, second half: one switch to all written tables, only if no ERROR check failed."""
     n_err = checks.where(~F.col("passed") & (F.col("severity") == ERROR)).count()
     if n_err and fail_on_error:
         return {"published": False, "errors": n_err}
-    out = {}
-    for name in order:
-        out[name] = write_parquet(tables[name], os.path.join(base, name), "overwrite")
-    return {"published": True, "errors": n_err, "tables": out}
+    version = manifest.commit(spark, base, run_id, written)
+    return {"published": True, "errors": n_err, "version": version, "tables": written}
 
 
 def write_metrics(rows: DataFrame, base: str, layer: str, run_id: str) -> None:
