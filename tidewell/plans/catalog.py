@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import BRONZE_CONTRACTS, FX_CONTRACT
 from ..operators import dq, fx, silver as sv
-from . import marts, ops, silver_queries as sq
+from . import incremental, marts, ops, silver_queries as sq
 from .lake import Lake
 
 _LAKES: dict[tuple, Lake] = {}
@@ -64,9 +64,21 @@ def _star_invariants(lk: Lake) -> DataFrame:
         "entity", "check", "column", "passed", "failed_records", "total_records")
 
 
+#: Load days before this one count as loaded earlier in the incremental queries.
+LOADED_BEFORE = "1996-01-01"
+
+
+def _second_load(lk: Lake) -> tuple[DataFrame, DataFrame]:
+    """Deposits of the later load days, and those sent again, against what the earlier days have written."""
+    contract, ref = BRONZE_CONTRACTS["deposits"], lk.refs.quarantine["deposits"]
+    sent = lk.bronze["deposits"].unionByName(lk.resent_deposits)
+    day = F.col("ingest_date")
+    first, _ = incremental.split_new(sent.where(day < LOADED_BEFORE), contract, ref)
+    return incremental.split_new(sent.where(day >= LOADED_BEFORE), contract, ref, first)
+
+
 def _value_tiers(lk: Lake) -> DataFrame:
-    dorm = marts.player_base(lk.star, lk.refs.dormancy_ref)
-    return marts.value_tiers(dorm)
+    return marts.value_tiers(marts.stored_base(lk.star, lk.refs.dormancy_ref))
 
 
 def _dq(lk: Lake) -> DataFrame:
@@ -192,6 +204,9 @@ def _fx_carried(lk: Lake) -> DataFrame:
 
 
 EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
+    "incremental_loads": lambda lk: incremental.outcomes(*_second_load(lk)),
+    "incremental_resent": lambda lk: _second_load(lk)[1].where(F.col(sv.REASON) == incremental.RESENT).select(
+        *BRONZE_CONTRACTS["deposits"].columns, "ingest_date", sv.REASON),
     "fx_cross_rate": lambda lk: lk.fx.where(F.col("from_currency") != "BRL"),
     "fx_identity": lambda lk: lk.fx.where(F.col("from_currency") == "BRL"),
     "fx_carried_forward": _fx_carried,

@@ -43,9 +43,11 @@ class Lake:
                       refs: References = TESTDATA_REFS) -> "Lake":
         start, end = bindings.fx_window(spark, sf_dir)
         quotes = bindings.quotes(spark, start, end, FX_LOOKBACK_DAYS)
-        return cls(spark, bindings.bronze(spark, sf_dir), quotes, start, end, refs,
+        lake = cls(spark, bindings.bronze(spark, sf_dir), quotes, start, end, refs,
                    fetched_at=f"{end.isoformat()}T00:00:00+00:00",
                    fx_key=(id(spark), sf_dir, start, end))
+        lake.resent_deposits = bindings.resent_deposits(spark, sf_dir)
+        return lake
 
     # --------------------------------------------------------------------- fx
     @cached_property

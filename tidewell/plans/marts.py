@@ -3,7 +3,7 @@
 Shapes follow the original views; the plans are written for scale:
 aggregate facts by player *before* joining (no fan-out), top-1 per player as a
 partial aggregate (``min_by``/``max_by``) instead of a per-player window, global
-quartiles through the distributed ``ntile``, and windows only where their
+quartiles from three selected cut keys, and windows only where their
 partitions are bounded (activity days per player <= calendar days).
 Ties the views leave undefined get deterministic tie-breaks (player_id,
 product, touchpoint_id).
@@ -20,6 +20,7 @@ from ..config import (DEFAULT_OFFER, DEFAULT_PRODUCT, DEFAULT_TIER, DORMANCY_DAY
                       TARGET_DAYS, TARGET_TIERS, TIER_LABELS, UNKNOWN)
 from ..functions import cents, day_bucket, ts_lit, whole_days, with_half_up
 from ..operators import ranking
+from ..session import materialise
 
 
 def _dec(c: str) -> F.Column:
@@ -65,26 +66,42 @@ def player_base(star: dict[str, DataFrame], ref: _dt.date) -> DataFrame:
     )
 
 
-def value_tiers(dorm: DataFrame) -> DataFrame:
-    """Quartiles of LTV over dormant, valuable, targetable players."""
-    pop = dorm.where(F.col("is_dormant") & (F.col("ltv_brl") > 0) & F.col("is_targetable")) \
-        .select("player_id", "ltv_brl")
-    t = ranking.ntile(pop, 4, [F.col("ltv_brl").asc_nulls_last(), F.col("player_id").asc()], "t")
+def stored_base(star: dict[str, DataFrame], ref: _dt.date) -> DataFrame:
+    """``player_base`` as a table of the shared folder: one row per player, read in several passes."""
+    return materialise(player_base(star, ref), "player-base")
+
+
+def _ranked() -> F.Column:
+    """Players that get a value tier."""
+    return F.col("is_dormant") & (F.col("ltv_brl") > 0) & F.col("is_targetable")
+
+
+def _tier(dorm: DataFrame) -> F.Column:
+    """Quartile (W3) of a ranked player of the stored table, from three cut keys."""
+    cuts = ranking.cut_keys(dorm.where(_ranked()), len(TIER_LABELS), "ltv_brl", "player_id")
+    return ranking.tile(cuts, "ltv_brl", "player_id")
+
+
+def _label(t: F.Column) -> F.Column:
     label = F.lit(DEFAULT_TIER)
     for k in sorted(TIER_LABELS, reverse=True):
-        label = F.when(F.col("t") == k, TIER_LABELS[k]).otherwise(label)
-    return t.select("player_id", "t", label.alias("value_tier"))
+        label = F.when(t == k, TIER_LABELS[k]).otherwise(label)
+    return label
+
+
+def value_tiers(dorm: DataFrame) -> DataFrame:
+    """Quartiles of LTV over dormant, valuable, targetable players (W3); ``dorm`` is a stored table."""
+    t = _tier(dorm)
+    return dorm.where(_ranked()).select("player_id", t.alias("t"), _label(t).alias("value_tier"))
 
 
 def player_360(star: dict[str, DataFrame], ref: _dt.date, dorm: DataFrame | None = None) -> DataFrame:
-    """vw_player_360."""
-    dorm = dorm if dorm is not None else player_base(star, ref).checkpoint(eager=True)
-    tiers = value_tiers(dorm).select("player_id", "value_tier")
-    j = dorm.join(tiers, "player_id", "left")
-    return j.select(
+    """vw_player_360 (D23); ``dorm`` may pass the stored player base."""
+    dorm = dorm if dorm is not None else stored_base(star, ref)
+    tier = F.when(_ranked(), _label(_tier(dorm))).otherwise(F.lit(DEFAULT_TIER))
+    return dorm.select(
         "player_id", "country", "acquisition_channel", "primary_product", "kyc_status",
-        "self_excluded", "is_dormant", "days_inactive",
-        F.coalesce("value_tier", F.lit(DEFAULT_TIER)).alias("value_tier"),
+        "self_excluded", "is_dormant", "days_inactive", tier.alias("value_tier"),
         "deposit_count", "bet_count", "ltv_brl", "total_stake_brl", "net_brl")
 
 

@@ -19,6 +19,7 @@ from ..config import (BRONZE_CONTRACTS, FX_CONTRACT, FX_LOOKBACK_DAYS, GOLD_CONT
 from ..operators import dq, fx, silver as sv, star as st, taxonomy
 from ..session import materialise
 from .. import sinks, sources
+from . import incremental
 
 SILVER_COLUMNS = {
     "players": ["player_id", "signup_date", "acquisition_channel", "country", "preferred_currency",
@@ -65,6 +66,26 @@ def _since(began: float) -> dict[str, int]:
     return {"ProcessingDurationMs": int((time.monotonic() - began) * 1000)}
 
 
+def typed_rows(e: str, clean: DataFrame, fx_table: DataFrame) -> DataFrame:
+    """Clean bronze rows of an entity as silver rows: types, conversion, taxonomy, flags."""
+    spec = sv.TRANSFORMS.get(e, {})
+    typed = sv.cast(clean, spec)
+    if spec.get("money"):
+        m = spec["money"]
+        typed = fx.to_brl(typed, fx_table, m["cols"], m["currency"], m["date"])
+    if e == "campaigns":
+        typed = taxonomy.parse(typed, clean.sparkSession)
+    return sv.derive_flags(e, typed).select(*SILVER_COLUMNS[e])
+
+
+def run_silver_increment(spark: SparkSession, bronze_root: str, fx_path: str, out_base: str, refs: References,
+                         run_id: str, ingest_date: str | None = None, entities: list[str] | None = None) -> dict:
+    """Silver job over what landed since its last run (S4); see ``plans.incremental``."""
+    fx_table = spark.read.parquet(fx_path)
+    return incremental.run(spark, bronze_root, out_base, refs, run_id,
+                           lambda e, clean: typed_rows(e, clean, fx_table), ingest_date, entities)
+
+
 def _load_entity(spark: SparkSession, e: str, df: DataFrame, fx_table: DataFrame, refs: References,
                  ingest_date: str | None, out_base: str, run_id: str, at: str
                  ) -> tuple[dict[str, int], DataFrame, DataFrame]:
@@ -77,16 +98,11 @@ def _load_entity(spark: SparkSession, e: str, df: DataFrame, fx_table: DataFrame
     checks = [dq.run_contract(df, e, contract, refs.quarantine[e], groups, distinct_rows=distinct)]
     clean, quarantine = sv.split(rows, contract, refs.quarantine[e], extra_cols=groups, groups=distinct)
     q_info = sinks.write_quarantine(quarantine, out_base, e, run_id, at)
-    spec = sv.TRANSFORMS.get(e, {})
-    typed = sv.cast(clean.select(*contract.columns), spec)
-    if spec.get("money"):
-        m = spec["money"]
-        typed = fx.to_brl(typed, fx_table, m["cols"], m["currency"], m["date"])
-        checks.append(fx.missing_rate_check(typed, e, m["currency"])
+    typed = typed_rows(e, clean.select(*contract.columns), fx_table)
+    money = sv.TRANSFORMS.get(e, {}).get("money")
+    if money:
+        checks.append(fx.missing_rate_check(typed, e, money["currency"])
                       .withColumn("ingest_date", F.lit(ingest_date)))
-    if e == "campaigns":
-        typed = taxonomy.parse(typed, spark)
-    typed = sv.derive_flags(e, typed).select(*SILVER_COLUMNS[e])
     w = sinks.write_parquet(typed, os.path.join(out_base, "silver", e), "overwrite")
     rows_in = int(distinct.agg(F.sum("_copies")).first()[0] or 0)
     diff = abs(rows_in - w["rows"] - q_info["rows"])

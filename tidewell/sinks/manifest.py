@@ -53,18 +53,23 @@ def load(spark: SparkSession, base: str, version: int | None = None) -> dict | N
     return json.loads(text)
 
 
-def path_of(spark: SparkSession, base: str, table: str, version: int | None = None) -> str | None:
-    """Folder of a published table; None where it is not published."""
+def paths_of(spark: SparkSession, base: str, table: str, version: int | None = None) -> list[str]:
+    """Folders of a published table (one, or one per load of a table that grows); none where it is not published."""
     entry = ((load(spark, base, version) or {}).get("tables") or {}).get(table)
-    return os.path.join(base, entry["path"]) if entry else None
+    return [os.path.join(base, p) for p in folders(entry)] if entry else []
+
+
+def folders(entry: dict) -> list[str]:
+    """Folders under the base that a manifest's entry names."""
+    return entry["paths"] if "paths" in entry else [entry["path"]]
 
 
 def read(spark: SparkSession, base: str, table: str, version: int | None = None) -> DataFrame:
     """A published table. Take ``version`` from one ``load`` to read several tables of one state."""
-    path = path_of(spark, base, table, version)
-    if path is None:
+    paths = paths_of(spark, base, table, version)
+    if not paths:
         raise FileNotFoundError(f"{table} is not published under {base}")
-    return spark.read.parquet(path)
+    return spark.read.parquet(*paths)
 
 
 def run_folder(run_id: str) -> str:
@@ -106,7 +111,7 @@ def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     """
     there = versions(spark, base)
     kept = [load(spark, base, v) for v in there[-keep:]]
-    named = {t["path"] for m in kept for t in m["tables"].values()}
+    named = {p for m in kept for t in m["tables"].values() for p in folders(t)}
     gone = []
     for table in _names(spark, base):
         if table.startswith(("_", ".")):

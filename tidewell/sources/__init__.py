@@ -38,7 +38,7 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def read_bronze_csv(spark: SparkSession, path: str, ingest_date: str | None = None,
-                    infer: bool = False) -> DataFrame:
+                    infer: bool = False, with_path: bool = False) -> DataFrame:
     """Raw CSV scan (S1/S2/S4), columns taken by header name on every file system.
 
     The frame has the header's own columns, so that the schema check sees drift.
@@ -46,7 +46,7 @@ def read_bronze_csv(spark: SparkSession, path: str, ingest_date: str | None = No
     one's: a file in another column order fails, it is never bound by position.
     Every column is text unless ``infer`` (S2); NA tokens become null here, once.
     ``ingest_date`` reads that load day only; a day without files is empty, and a
-    folder without load days cannot be asked for one.
+    folder without load days cannot be asked for one. ``with_path`` adds each row's file as ``_path``.
     """
     reader = (spark.read.option("header", True).option("inferSchema", infer)
               .option("enforceSchema", False))
@@ -63,9 +63,10 @@ def read_bronze_csv(spark: SparkSession, path: str, ingest_date: str | None = No
             if "ingest_date" not in df.columns:
                 raise ValueError(f"{path} has no load days, {ingest_date} cannot be read")
             df = df.where(F.col("ingest_date").cast("string") == ingest_date)
+    path_ = [F.col("_metadata.file_path").alias("_path")] if with_path else []
     if infer:
-        return df
-    return df.select(*[F.col(c) if c == "ingest_date" else na_to_null(c).alias(c) for c in df.columns])
+        return df.select("*", *path_)
+    return df.select(*[F.col(c) if c == "ingest_date" else na_to_null(c).alias(c) for c in df.columns], *path_)
 
 
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -22,6 +22,10 @@ from . import read_table as _read_table
 from . import spread
 
 
+#: The later load day of deposits that are sent again.
+RESENT_DAY = "2002-01-01"
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spread(_read_table(spark, base, name))
 
@@ -86,6 +90,12 @@ def deposits(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def resent_deposits(spark: SparkSession, base: str) -> DataFrame:
+    """Every 40th order, sent once more on a later load day (byte-identical but for that day)."""
+    number = F.substring("deposit_id", 2, 64).cast("long")
+    return deposits(spark, base).where(number % 40 == 0).distinct().withColumn("ingest_date", F.lit(RESENT_DAY))
+
+
 def bets(spark: SparkSession, base: str) -> DataFrame:
     li = read_table(spark, base, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
