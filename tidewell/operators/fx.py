@@ -25,14 +25,15 @@ def densify_quotes(quotes: DataFrame, start: _dt.date, end: _dt.date,
 
     The fill runs over [start - lookback, end] and is trimmed to [start, end]
     afterwards, so a window that opens on a weekend or holiday still has a
-    source. Null and zero quotes count as not published.
+    source. Null and zero quotes count as not published; of several quotes of a
+    day and currency (overlapping payloads) the highest counts.
     """
     fetch_start = start - _dt.timedelta(days=lookback_days)
     q = (quotes.where(F.col("per_base").isNotNull() & (F.col("per_base") != 0)
                       & ~F.isnan("per_base"))
          .select(F.col("pub_date").cast("date").alias("pub_date"), "currency", "per_base")
          .where(F.col("pub_date").between(F.lit(fetch_start), F.lit(end)))
-         .dropDuplicates(["pub_date", "currency"]))
+         .groupBy("pub_date", "currency").agg(F.max("per_base").alias("per_base")))
     nxt = F.lead("pub_date").over(Window.partitionBy("currency").orderBy("pub_date"))
     q = q.withColumn("until", F.coalesce(F.date_sub(nxt, 1), F.lit(end)))
     dense = q.select("currency", "per_base", F.col("pub_date").alias("source_date"),

@@ -13,20 +13,25 @@ from pyspark.sql import functions as F
 
 from ..config import BRONZE_CONTRACTS, FX_CONTRACT
 from ..operators import dq, fx, silver as sv
+from ..session import state_of
+from ..sources import bindings, table_path
 from . import incremental, marts, ops, silver_queries as sq
 from .lake import Lake
 
-_LAKES: dict[tuple, Lake] = {}
-
 DQ_COLS = ["ingest_date", "entity", "check", "column", "severity", "passed",
            "failed_records", "total_records", "failed_ratio"]
 
 
+_LAKES: dict[tuple[str, str], tuple[tuple, Lake]] = {}
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    key = (id(spark), sf_dir)
-    if key not in _LAKES:
-        _LAKES[key] = Lake.from_testdata(spark, sf_dir)
-    return _LAKES[key]
+    """The lake over ``sf_dir``; built anew when the application or the files below it are others."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    state = tuple(state_of(spark, table_path(spark, sf_dir, t)) for t in bindings.TABLES)
+    if key not in _LAKES or _LAKES[key][0] != state:
+        _LAKES[key] = state, Lake.from_testdata(spark, sf_dir)
+    return _LAKES[key][1]
 
 
 def _p360(lk: Lake) -> DataFrame:

@@ -11,59 +11,58 @@ broadcast from a *measured* size (it is bounded by calendar days x pairs).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BRONZE_CONTRACTS, FX_LOOKBACK_DAYS, TESTDATA_REFS, References
+from ..config import BRONZE_CONTRACTS, TESTDATA_REFS, References
 from ..operators import dq, fx, silver as sv, star as st, taxonomy
 from ..session import materialise
 from ..sources import bindings
 
-_FX_CACHE: dict[tuple, tuple] = {}
-
 
 class Lake:
-    def __init__(self, spark: SparkSession, bronze: dict[str, DataFrame],
-                 quotes: DataFrame, fx_start: _dt.date, fx_end: _dt.date,
-                 refs: References = TESTDATA_REFS, fetched_at: str = "",
-                 fx_key: tuple | None = None):
+    def __init__(self, spark: SparkSession, bronze: dict[str, DataFrame], quotes: DataFrame,
+                 fx_window: Callable[[], tuple[_dt.date, _dt.date]], refs: References = TESTDATA_REFS):
         self.spark = spark
         self.bronze = bronze
         self.quotes = quotes
-        self.fx_start, self.fx_end = fx_start, fx_end
+        self._fx_window = fx_window
         self.refs = refs
-        self.fetched_at = fetched_at
-        self._fx_key = fx_key
 
     # ------------------------------------------------------------------ build
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
                       refs: References = TESTDATA_REFS) -> "Lake":
-        start, end = bindings.fx_window(spark, sf_dir)
-        quotes = bindings.quotes(spark, start, end, FX_LOOKBACK_DAYS)
-        lake = cls(spark, bindings.bronze(spark, sf_dir), quotes, start, end, refs,
-                   fetched_at=f"{end.isoformat()}T00:00:00+00:00",
-                   fx_key=(id(spark), sf_dir, start, end))
+        lake = cls(spark, bindings.bronze(spark, sf_dir), bindings.quotes(spark, sf_dir),
+                   lambda: bindings.fx_window(spark, sf_dir), refs)
         lake.resent_deposits = bindings.resent_deposits(spark, sf_dir)
         return lake
 
     # --------------------------------------------------------------------- fx
+    @cached_property
+    def fx_window(self) -> tuple[_dt.date, _dt.date]:
+        """First and last day of the FX calendar; asked for by queries that need rates only."""
+        return self._fx_window()
+
+    @property
+    def fx_start(self) -> _dt.date:
+        return self.fx_window[0]
+
+    @property
+    def fx_end(self) -> _dt.date:
+        return self.fx_window[1]
+
     @cached_property
     def fx_plan(self) -> DataFrame:
-        return fx.build_dense(self.quotes, self.fx_start, self.fx_end, self.fetched_at)
+        return fx.build_dense(self.quotes, self.fx_start, self.fx_end, f"{self.fx_end.isoformat()}T00:00:00+00:00")
 
     @cached_property
     def fx(self) -> DataFrame:
-        """Dense FX table, written once per source to the shared folder."""
-        key = self._fx_key
-        if key is not None and key in _FX_CACHE:
-            return _FX_CACHE[key]
-        out = materialise(self.fx_plan, "fx_rates")
-        if key is not None:
-            _FX_CACHE[key] = out
-        return out
+        """Dense FX table, written once per lake to the shared folder."""
+        return materialise(self.fx_plan, "fx_rates")
 
     # ----------------------------------------------------------------- silver
     @cached_property

@@ -14,8 +14,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import (BRONZE_CONTRACTS, FX_CONTRACT, FX_LOOKBACK_DAYS, GOLD_CONTRACTS,
-                      GOLD_WRITE_ORDER, References)
+from ..config import (BRONZE_CONTRACTS, FX_CONTRACT, GOLD_CONTRACTS, GOLD_WRITE_ORDER, References)
 from ..operators import dq, fx, silver as sv, star as st, taxonomy
 from ..session import materialise
 from .. import sinks, sources
@@ -219,7 +218,7 @@ def land_testdata(spark: SparkSession, sf_dir: str, root: str) -> dict:
         df.write.mode("overwrite").partitionBy("ingest_date").option("header", True) \
             .csv(os.path.join(root, "bronze", e))
     start, end = bindings.fx_window(spark, sf_dir)
-    q = bindings.quotes(spark, start, end, FX_LOOKBACK_DAYS)
+    q = bindings.quotes(spark, sf_dir)
     # one payload per year, like ranged API responses landed as files
     per_year = (q.groupBy(F.year("pub_date").alias("y"), F.date_format("pub_date", "yyyy-MM-dd").alias("d"))
                 .agg(F.map_from_entries(F.collect_list(F.struct("currency", "per_base"))).alias("m"))

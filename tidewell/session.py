@@ -72,14 +72,36 @@ def stored_bytes(spark: SparkSession, path: str) -> int | None:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else None
 
 
+def state_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, last change) of a table's path: other data under it give another state."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0, 0, 0
+    total = fs.getContentSummary(p)
+    last = max([s.getModificationTime() for s in fs.listStatus(p)], default=0)
+    return total.getFileCount(), total.getLength(), last
+
+
+def _scratch(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "tables", spark.sparkContext.applicationId)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts lineage (survives executor loss without recomputing the parent plan)
     and gives the planner a file-size statistic, so joins against small
-    derived tables are broadcast only when their measured size allows.
+    derived tables are broadcast only when their measured size allows. The
+    tables of an application lie in one folder; see ``drop_materialised``.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(_scratch(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_materialised(spark: SparkSession) -> None:
+    """Remove what ``materialise`` wrote in this application, once its results are written elsewhere."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

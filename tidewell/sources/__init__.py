@@ -11,30 +11,18 @@ from pyspark.sql import types as T
 
 from ..config import BRONZE_CONTRACTS, FX_BASE
 from ..functions import na_to_null
+from ..session import stored_bytes
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Parquet scan (S3): ``{base}/{name}.parquet`` or ``{base}/{name}/``."""
+def table_path(spark: SparkSession, base: str, name: str) -> str:
+    """``{base}/{name}.parquet`` (a file or a folder) or else ``{base}/{name}``, on the file system of ``base``."""
     path = os.path.join(base, f"{name}.parquet")
-    if not os.path.exists(path) and os.path.exists(os.path.join(base, name)):
-        path = os.path.join(base, name)
-    return spark.read.parquet(path)
-
+    return path if stored_bytes(spark, path) is not None else os.path.join(base, name)
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-spread a scan that has fewer input splits than the cluster has cores.
 
-    A big table arrives in many splits and is returned untouched (no extra
-    shuffle); a table stored as one file/row group would otherwise run all of
-    its per-row work in a single task. Hashing on the table key is
-    deterministic (no pre-sort as round-robin needs). Counting splits plans the
-    scan but runs no job.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, F.col(key or df.columns[0]))
-    return df
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Parquet scan (S3)."""
+    return spark.read.parquet(table_path(spark, base, name))
 
 
 def read_bronze_csv(spark: SparkSession, path: str, ingest_date: str | None = None,

@@ -19,15 +19,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import read_table as _read_table
-from . import spread
 
 
 #: The later load day of deposits that are sent again.
 RESENT_DAY = "2002-01-01"
 
 
+#: The given tables that the entities and quotes are bound to.
+TABLES = ["nation", "customer", "part", "orders", "lineitem", "events"]
+
+#: Session setting: deal every given table out to so many parts first. For benchmarks on tables of one
+#: file each, whose scan is a single task; unset (the default) the scan's own splits are kept.
+DEAL_OUT = "tidewell.bindings.dealOut"
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spread(_read_table(spark, base, name))
+    df, parts = _read_table(spark, base, name), spark.conf.get(DEAL_OUT, None)
+    return df.repartition(int(parts), F.col(df.columns[0])) if parts else df
 
 
 def _pick(values: list[str], idx: Column) -> Column:
@@ -192,20 +200,18 @@ def fx_window(spark: SparkSession, base: str) -> tuple[_dt.date, _dt.date]:
     return r["start"], r["end"]
 
 
-def quotes(spark: SparkSession, start: _dt.date, end: _dt.date, lookback_days: int) -> DataFrame:
-    """Landed-quote stand-in over the transaction window.
+def quotes(spark: SparkSession, base: str) -> DataFrame:
+    """Quotes (pub_date, currency, per_base) from the given orders.
 
-    Weekdays of [start - lookback, end] with (pub_date, currency, per_base);
-    USD is not published on every 23rd day of the year (a currency missing on a
-    published day, so per-currency carry-forward is exercised).
+    Each day's orders give the quotes published five days before, on weekdays: USD from the day's smallest
+    key, BRL from the number of orders. Days without orders have none, and USD is missing where the key
+    divides by 23 (a currency missing on a published day, so that each currency is carried forward alone).
     """
-    fetch_start = start - _dt.timedelta(days=lookback_days)
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(fetch_start), F.lit(end)))
-                                 .alias("pub_date"))
-    days = days.where(F.weekday("pub_date") < 5).withColumn("doy", F.dayofyear("pub_date"))
-    usd = days.where(F.col("doy") % 23 != 0).select(
-        "pub_date", F.lit("USD").alias("currency"),
-        (F.lit(1.05) + (F.col("doy") % 10) / 100.0).alias("per_base"))
-    brl = days.select("pub_date", F.lit("BRL").alias("currency"),
-                      (F.lit(5.2) + (F.col("doy") % 20) / 100.0).alias("per_base"))
-    return usd.unionByName(brl)
+    days = read_table(spark, base, "orders").groupBy(
+        F.date_sub(F.col("o_orderdate").cast("date"), 5).alias("pub_date")).agg(
+        F.min("o_orderkey").alias("k"), F.count(F.lit(1)).alias("n")).where(F.weekday("pub_date") < 5)
+    usd = F.when(F.col("k") % 23 != 0, F.lit(1.05) + (F.col("k") % 10) / 100.0)
+    brl = F.lit(5.2) + (F.col("n") % 20) / 100.0
+    return days.select("pub_date", F.inline(F.array(
+        F.struct(F.lit("USD").alias("currency"), usd.alias("per_base")),
+        F.struct(F.lit("BRL").alias("currency"), brl.alias("per_base"))))).where("per_base IS NOT NULL")
