@@ -78,6 +78,11 @@ def future_reason(contract: Contract, ref: _dt.date) -> F.Column:
     return future_label(contract, future_code(contract, ref))
 
 
+def reasons(contract: Contract) -> list[str]:
+    """Every quarantine reason that :func:`split` can give."""
+    return ["duplicate_row", *[f"future_dated__{c}" for c in contract.dates]]
+
+
 def split(df: DataFrame, contract: Contract, ref: _dt.date,
           extra_cols: list[str] | None = None,
           groups: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -136,21 +136,21 @@ REGISTRY: dict[str, Callable[[Lake], DataFrame]] = {
     "channel_offer_fanout": lambda lk: sq.channel_offer_fanout(lk.silver),
     # dq
     "dq_bronze_checks": lambda lk: _dq(lk).select(*DQ_COLS),
-    "dq_errors": lambda lk: dq.errors(_dq(lk)).select(*DQ_COLS),
-    "dq_warnings": lambda lk: dq.warnings(_dq(lk)).select(*DQ_COLS),
-    "dq_measured": lambda lk: dq.measured(_dq(lk)).select(*DQ_COLS, "dq_check", "dq_violation"),
-    "dq_metrics": lambda lk: dq.metrics(_dq(lk), ["ingest_date", "entity"]),
-    "dq_run_verdict": lambda lk: ops.run_verdict(_dq(lk)),
-    "dq_trend": lambda lk: ops.trend(_dq(lk)),
-    "dq_verdict_changes": lambda lk: ops.verdict_changes(_dq(lk)),
+    "dq_errors": lambda lk: dq.errors(lk.history).select(*DQ_COLS),
+    "dq_warnings": lambda lk: dq.warnings(lk.history).select(*DQ_COLS),
+    "dq_measured": lambda lk: dq.measured(lk.history).select(*DQ_COLS, "dq_check", "dq_violation"),
+    "dq_metrics": lambda lk: dq.metrics(lk.history, ["ingest_date", "entity"]),
+    "dq_run_verdict": lambda lk: ops.run_verdict(lk.history),
+    "dq_trend": lambda lk: ops.trend(lk.history),
+    "dq_verdict_changes": lambda lk: ops.verdict_changes(lk.history),
     # ops
-    "ops_dq_alarm": lambda lk: ops.dq_alarm(_dq(lk)),
-    "ops_latest_checks": lambda lk: ops.latest_checks(_dq(lk)),
+    "ops_dq_alarm": lambda lk: ops.dq_alarm(lk.history),
+    "ops_latest_checks": lambda lk: ops.latest_checks(lk.history),
 }
 
 
 def _dq_check(check: str) -> Callable[[Lake], DataFrame]:
-    return lambda lk: _dq(lk).where(F.col("check") == check).select(*DQ_COLS)
+    return lambda lk: lk.history.where(F.col("check") == check).select(*DQ_COLS)
 
 
 def _gold_checks(lk: Lake) -> DataFrame:
@@ -220,6 +220,8 @@ EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
         "primary_key_unique", "duplicate_event", "not_blank", "accepted_values",
         "timestamp_parseable", "not_future_dated", "numeric_parseable", "numeric_range",
         "value_ceiling", "id_pattern", "no_surrounding_whitespace", "referential_integrity")},
+    "dq_details": lambda lk: lk.history.where("failed_records > 0").select(
+        "ingest_date", "entity", "check", "column", "details"),
     "dq_gold_checks": _gold_checks,
     "dq_fx_checks": _fx_checks,
     "dq_value_floor": lambda lk: _fx_checks(lk).where(F.col("check") == "value_floor"),
@@ -228,8 +230,8 @@ EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
     "tax_fuzzy": lambda lk: _tax_stage(lk, "fuzzy"),
     "quarantine_bets": _quarantine_rows("bets"),
     "quarantine_deposits": _quarantine_rows("deposits"),
-    "ops_run_metrics": lambda lk: ops.run_metrics(_dq(lk)),
-    "ops_latest_metrics": lambda lk: ops.latest_metrics(_dq(lk)),
+    "ops_run_metrics": lambda lk: ops.run_metrics(lk.history),
+    "ops_latest_metrics": lambda lk: ops.latest_metrics(lk.history),
 }
 REGISTRY.update(EXTRA)
 

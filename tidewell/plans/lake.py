@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BRONZE_CONTRACTS, TESTDATA_REFS, References
 from ..operators import dq, fx, silver as sv, star as st, taxonomy
-from ..session import materialise
+from .. import sinks, sources
+from ..session import materialise, scratch_folder
 from ..sources import bindings
 
 
@@ -148,6 +149,23 @@ class Lake:
             out = out.unionByName(p)
         return dq.with_ratio(out)
 
+    def samples(self) -> DataFrame:
+        """The first violating values of each check per load (O3), from the shared distinct rows."""
+        groups = ["ingest_date"]
+        parts = [dq.violating_values(df, e, BRONZE_CONTRACTS[e], groups) for e, df in self.distinct_rows.items()]
+        parts += dq.orphan_values(self.distinct_rows, BRONZE_CONTRACTS, groups)
+        return dq.smallest_values(reduce(DataFrame.unionByName, parts), groups)
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """The DQ report as written (K4): JSON lines, one run per lake; the newest run of each load day."""
+        base = scratch_folder(self.spark, "dq-report")
+        rows = dq.with_details(self.dq_report(), self.samples(), ["ingest_date"])
+        path = sinks.write_dq_report(rows, base, "", "lake", "")
+        if path is None:
+            raise RuntimeError("the DQ report could not be written")
+        return sources.read_dq_history(self.spark, path)
+
     def dq_report(self) -> DataFrame:
         """The DQ report rows (entity x check per ingest load) with run columns."""
         r = self.bronze_checks(["ingest_date"])

@@ -87,8 +87,8 @@ def run_silver_increment(spark: SparkSession, bronze_root: str, fx_path: str, ou
 
 def _load_entity(spark: SparkSession, e: str, df: DataFrame, fx_table: DataFrame, refs: References,
                  ingest_date: str | None, out_base: str, run_id: str, at: str
-                 ) -> tuple[dict[str, int], DataFrame, DataFrame]:
-    """One entity from bronze to silver; returns its metrics, check rows and distinct rows."""
+                 ) -> tuple[dict[str, int], dict[str, int], DataFrame, DataFrame]:
+    """One entity from bronze to silver; returns its metrics, quarantined rows by reason, check and distinct rows."""
     began, contract, groups = time.monotonic(), BRONZE_CONTRACTS[e], ["ingest_date"]
     rows = sources.conform(df, contract.columns)
     # distinct rows + multiplicity: the one shuffle of the entity, read by the DQ battery, the FK
@@ -96,7 +96,7 @@ def _load_entity(spark: SparkSession, e: str, df: DataFrame, fx_table: DataFrame
     distinct = materialise(sv.collapse(rows, contract.columns + groups), f"distinct-{e}")
     checks = [dq.run_contract(df, e, contract, refs.quarantine[e], groups, distinct_rows=distinct)]
     clean, quarantine = sv.split(rows, contract, refs.quarantine[e], extra_cols=groups, groups=distinct)
-    q_info = sinks.write_quarantine(quarantine, out_base, e, run_id, at)
+    q_info = sinks.write_quarantine(quarantine, out_base, e, run_id, at, sv.reasons(contract))
     typed = typed_rows(e, clean.select(*contract.columns), fx_table)
     money = sv.TRANSFORMS.get(e, {}).get("money")
     if money:
@@ -109,7 +109,7 @@ def _load_entity(spark: SparkSession, e: str, df: DataFrame, fx_table: DataFrame
                   .withColumn("ingest_date", F.lit(ingest_date)))
     found = _settled(checks, e)
     return ({"RowsIngested": rows_in, **_written(w), "RowsQuarantined": q_info["rows"], **_since(began)},
-            found, distinct)
+            q_info["counts"], found, distinct)
 
 
 def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date, end: _dt.date,
@@ -160,19 +160,23 @@ def run_silver(spark: SparkSession, bronze_root: str, fx_path: str, out_base: st
     checks, distinct, results, sizes = [], {}, {}, {}
     for e, df in frames.items():
         try:
-            sizes[e], found, distinct[e] = _load_entity(spark, e, df, fx_table, refs, ingest_date, out_base,
-                                                        run_id, at)
+            sizes[e], reasons, found, distinct[e] = _load_entity(spark, e, df, fx_table, refs, ingest_date, out_base,
+                                                                 run_id, at)
         except Exception as exc:  # noqa: BLE001 - one entity must not stop the others
             failures.append({"entity": e, "error": f"{type(exc).__name__}: {exc}"})
             continue
         checks.append(found)
         results[e] = {"rows_ingested": sizes[e]["RowsIngested"], "rows_written": sizes[e]["RowCount"],
-                      "rows_quarantined": sizes[e]["RowsQuarantined"], "columns": sizes[e]["ColumnCount"],
+                      "rows_quarantined": sizes[e]["RowsQuarantined"], "quarantine": reasons, "columns": sizes[e]["ColumnCount"],
                       "bytes_written": sizes[e]["BytesWritten"]}
     if not checks:
         raise RuntimeError(f"no entity was loaded: {failures}")
     fk = dq.run_foreign_keys(distinct, BRONZE_CONTRACTS, ["ingest_date"], weight_col="_copies")
-    allc = _settled(checks + ([fk] if fk is not None else []), "silver")
+    values = [dq.violating_values(d, e, BRONZE_CONTRACTS[e], ["ingest_date"]) for e, d in distinct.items()]
+    values += dq.orphan_values(distinct, BRONZE_CONTRACTS, ["ingest_date"])
+    shown = dq.smallest_values(_union(values), ["ingest_date"])
+    allc = materialise(dq.with_details(_settled(checks + ([fk] if fk is not None else []), "silver"), shown,
+                                       ["ingest_date"]), "report-silver")
     summ = sinks.summary(allc)
     sinks.write_dq_report(allc, out_base, ingest_date or "all", run_id, at)
     _write_metrics(allc, sizes, out_base, "silver", run_id, ingest_date, at)

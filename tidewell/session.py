@@ -87,6 +87,11 @@ def _scratch(spark: SparkSession) -> str:
     return os.path.join(shared_dir(spark), "tables", spark.sparkContext.applicationId)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files of this application under the shared folder."""
+    return os.path.join(_scratch(spark), f"{name}-{uuid.uuid4().hex}")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -96,7 +101,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     tables of an application lie in one folder; see ``drop_materialised``.
     """
     spark = df.sparkSession
-    path = os.path.join(_scratch(spark), f"{name}-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ERROR
+from ..operators import dq
 from ..session import stored_bytes
 from . import manifest
 
@@ -21,15 +22,23 @@ class DataQualityError(RuntimeError):
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> dict:
-    """K1: snappy Parquet, idempotent overwrite; returns rows (observed), columns and bytes written."""
+                  partition_by: list[str] | None = None, counts: dict[str, Column] | None = None) -> dict:
+    """K1: snappy Parquet, idempotent overwrite; returns rows (observed), columns and bytes written.
+
+    ``counts`` (name -> condition) are counted by the same write, as ``counts`` of the result.
+    """
     obs = Observation(f"w{abs(hash(path))}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    extra = {f"_{k}": (name, cond) for k, (name, cond) in enumerate((counts or {}).items())}
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                   *[F.count_if(cond).alias(k) for k, (_, cond) in extra.items()]).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.option("compression", "snappy").parquet(path)
-    return {"rows": int(obs.get.get("rows", 0)), "columns": len(df.columns),
+    info = {"rows": int(obs.get.get("rows", 0)), "columns": len(df.columns),
             "bytes": stored_bytes(df.sparkSession, path) or 0, "path": path}
+    if counts is not None:
+        info["counts"] = {name: n for k, (name, _) in extra.items() if (n := int(obs.get.get(k, 0)))}
+    return info
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append",
@@ -41,12 +50,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append",
     w.json(path)
 
 
-def write_quarantine(q: DataFrame, base: str, entity: str, run_id: str, at: str) -> dict:
-    """K3: one folder per (run, ingest_date, reason) with run columns added."""
+def write_quarantine(q: DataFrame, base: str, entity: str, run_id: str, at: str,
+                     reasons: list[str] | None = None) -> dict:
+    """K3: one folder per (run, ingest_date, reason) with run columns added; counts of the named reasons."""
     out = (q.withColumn("_run_id", F.lit(run_id)).withColumn("_quarantined_at", F.lit(at))
            .withColumn("reason", F.col("_quarantine_reason")))
     return write_parquet(out, os.path.join(base, "quarantine", entity, f"run={run_id}"), "overwrite",
-                         ["ingest_date", "reason"])
+                         ["ingest_date", "reason"], {r: F.col("reason") == r for r in reasons or []})
 
 
 def write_dq_report(results: DataFrame, base: str, ingest_date: str, run_id: str,
@@ -59,10 +69,9 @@ def write_dq_report(results: DataFrame, base: str, ingest_date: str, run_id: str
         if "ingest_date" not in cols:
             out = out.withColumn("ingest_date", F.lit(ingest_date))
         if "details" not in cols:
-            out = out.withColumn("details", F.when(
-                F.col("failed_records") > 0,
-                F.format_string("%d of %d records", "failed_records", "total_records")).otherwise(""))
-        out = out.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.lit(checked_at))
+            out = dq.with_details(out, dq.no_samples(out, ["ingest_date"]), ["ingest_date"])
+        for c, v in (("run_id", run_id), ("checked_at", checked_at)):  # of each load's own, where there are
+            out = out if c in cols else out.withColumn(c, F.lit(v))
         write_jsonl(out, os.path.join(path, f"layer={layer}", f"run={run_id}"), "overwrite", ["ingest_date"])
         return path
     except Exception:  # noqa: BLE001 - observability must not break the load

@@ -114,6 +114,19 @@ def read_dq_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DQ_REPORT_SCHEMA).json(path)
 
 
+def read_dq_history(spark: SparkSession, path: str, layer: str = "silver") -> DataFrame:
+    """The report's rows of the newest run of each load day (S7); a repeated load replaces what it found before.
+
+    A load day's runs are told apart by ``checked_at``, then by the run's name. Only the report is read.
+    """
+    report = read_dq_report(spark, path).where(F.col("layer") == layer).withColumn(
+        "ingest_date", F.col("ingest_date").cast("string")).withColumn("run", F.col("run").cast("string"))
+    newest = report.groupBy("ingest_date").agg(F.max(F.struct("checked_at", "run")).alias("_at")).select(
+        F.col("ingest_date").alias("_day"), F.col("_at.run").alias("_run"))  # a row for each load day
+    return report.join(newest, F.col("ingest_date").eqNullSafe(F.col("_day")) & (F.col("run") == F.col("_run"))).drop(
+        "_day", "_run")
+
+
 def read_previous_fx(spark: SparkSession, current_path: str, start: str, end: str) -> DataFrame | None:
     """Degraded source (S12): use the previous snapshot only if it covers ``end``."""
     try:
