@@ -208,6 +208,21 @@ def _fx_carried(lk: Lake) -> DataFrame:
         F.count_if("is_carried_forward").alias("carried"), F.count(F.lit(1)).alias("days"))
 
 
+def _alarms(lk: Lake) -> DataFrame:
+    """All layers' metrics: each load's checks, the star's and the rates', and the days whose USD is carried forward."""
+    cols = ["layer", "metric", "value", "ts"]
+    degraded = lk.fx.where("from_currency = 'USD'").select(
+        F.lit("reference").alias("layer"), F.lit("DegradedMode").alias("metric"),
+        F.col("is_carried_forward").cast("bigint").alias("value"), F.col("rate_date").cast("timestamp_ntz").alias("ts"))
+    gold = ops.check_metrics(_gold_checks(lk), "gold", f"{lk.refs.dormancy_ref.isoformat()} 04:00:00")
+    return ops.alarms(ops.run_metrics(lk.history).select(*cols).unionByName(gold).unionByName(degraded))
+
+
+def _fx_rate_coverage(lk: Lake) -> DataFrame:
+    return fx.missing_rate_check(lk.silver["deposits"], "deposits", "currency").unionByName(
+        fx.missing_rate_check(lk.silver["bets"], "bets", "currency"))
+
+
 EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
     "incremental_loads": lambda lk: incremental.outcomes(*_second_load(lk)),
     "incremental_resent": lambda lk: _second_load(lk)[1].where(F.col(sv.REASON) == incremental.RESENT).select(
@@ -222,6 +237,8 @@ EXTRA: dict[str, Callable[[Lake], DataFrame]] = {
         "value_ceiling", "id_pattern", "no_surrounding_whitespace", "referential_integrity")},
     "dq_details": lambda lk: lk.history.where("failed_records > 0").select(
         "ingest_date", "entity", "check", "column", "details"),
+    "ops_alarms": _alarms,
+    "fx_rate_coverage": _fx_rate_coverage,
     "dq_gold_checks": _gold_checks,
     "dq_fx_checks": _fx_checks,
     "dq_value_floor": lambda lk: _fx_checks(lk).where(F.col("check") == "value_floor"),

@@ -93,3 +93,35 @@ def degraded_alarm(metrics: DataFrame) -> DataFrame:
     g = metrics.where(F.col("metric") == "DegradedMode").groupBy(
         F.window("ts", "1 hour").start.alias("window_start"), "layer").agg(F.max("value").alias("degraded_mode"))
     return g.where(F.col("degraded_mode") > 0)
+
+
+#: The alarms (metric, statistic, layers); each breaches above 0 in an hour, a missing hour does not.
+ALARMS = [("ChecksFailedError", "Sum", ["silver", "gold"]), ("DegradedMode", "Maximum", ["reference"])]
+
+
+def alarms(metrics: DataFrame) -> DataFrame:
+    """Every hour in which an alarm changes its state, from written run metrics.
+
+    The hours of a layer run without a gap from its first metric to one hour after its last (bounded by the
+    calendar); an hour without the metric is "not breaching". The first hour always shows.
+    """
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    per = metrics.select("layer", hour.alias("window_start"), "metric", "value")
+    rules = metrics.sparkSession.createDataFrame(
+        [(m, stat, layer) for m, stat, layers in ALARMS for layer in layers], "metric string, statistic string, layer string")
+    axis = per.groupBy("layer").agg(F.min("window_start").alias("a"), F.max("window_start").alias("b")).join(
+        F.broadcast(rules), "layer").select("layer", "metric", "statistic", F.explode(F.expr(
+            "sequence(a, b + INTERVAL 1 HOUR, INTERVAL 1 HOUR)")).alias("window_start"))
+    seen = per.groupBy("layer", "metric", "window_start").agg(F.sum("value").alias("s"), F.max("value").alias("m"))
+    key = ["layer", "metric", "window_start"]
+    value = F.when(F.col("statistic") == "Sum", F.col("s")).otherwise(F.col("m"))
+    state = F.when(F.coalesce(value, F.lit(0)) > 0, "ALARM").otherwise("OK")
+    hours = axis.join(seen, key, "left").select(*key, "statistic", value.cast("bigint").alias("value"), state.alias("state"))
+    before = F.lag("state").over(Window.partitionBy("layer", "metric").orderBy("window_start"))
+    return hours.withColumn("_b", before).where(~F.col("_b").eqNullSafe(F.col("state"))).drop("_b")
+
+
+def check_metrics(checks: DataFrame, layer: str, at: str) -> DataFrame:
+    """Metric rows (layer, metric, value, ts) of a job's checks, all of one instant."""
+    return dq.metrics(checks).select(F.lit(layer).alias("layer"), "metric", "value",
+                                     F.lit(at).cast("timestamp_ntz").alias("ts"))

@@ -119,13 +119,11 @@ def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date
     degraded = False
     current = os.path.join(out_base, "reference", "fx_rates", "current")
     try:
-        quotes = sources.read_quote_files(spark, quotes_path)
-        # one hash per landed payload file, which the calendar bounds
-        digest = [r[0] for r in quotes.select("payload_sha256").distinct().orderBy("payload_sha256").collect()]
+        quotes, digest = sources.landed_quotes(spark, quotes_path)
         dense = fx.build_dense(quotes.drop("payload_sha256"), start, end, fetched_at)
         published = quotes.select("pub_date").where(
             F.col("pub_date").between(F.lit(start), F.lit(end))).distinct().count()
-    except Exception:  # noqa: BLE001 - degraded mode
+    except sources.SourceUnavailable:  # degraded mode; any other error is one of the code
         dense = sources.read_previous_fx(spark, current, start.isoformat(), end.isoformat())
         if dense is None:
             raise
@@ -137,7 +135,7 @@ def run_fx(spark: SparkSession, quotes_path: str, out_base: str, start: _dt.date
     info = None
     if not (summ["errors"] and fail_on_error):
         info = sinks.publish_snapshot(dense, os.path.join(out_base, "reference", "fx_rates"),
-                                      snapshot_date, run_id)
+                                      snapshot_date, run_id, ["rate_date", "from_currency"])
     sinks.write_dq_report(checks, out_base, snapshot_date, run_id, fetched_at, "reference")
     sizes = {"fx_rates": {**(_written(info) if info else {}), "DegradedMode": int(degraded), **_since(began)}}
     _write_metrics(checks, sizes, out_base, "reference", run_id, snapshot_date, fetched_at)

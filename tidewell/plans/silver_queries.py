@@ -103,14 +103,16 @@ def channel_offer_fanout(s: dict[str, DataFrame]) -> DataFrame:
     """D29h: channel x offer x product over clicked campaigns, with the original
     many-to-many sum (each confirmed deposit counted once per click).
 
-    The pairs are never emitted: per player, clicks are counted per
-    (offer, product) and deposits summed, then multiplied - the same total as
-    joining clicks x deposits, without the quadratic row blow-up of a hot player.
+    The pairs are never emitted: per player, clicks are counted per campaign
+    (before campaigns are joined, so a hot campaign meets one row a player) and
+    then per (offer, product), deposits are summed, and both multiplied - the
+    same total as joining clicks x deposits, without the quadratic row blow-up
+    of a hot player.
     """
     clicks = (s["campaign_touchpoints"].where(F.col("event_type") == "click")
-              .select("player_id", "campaign_id")
+              .groupBy("player_id", "campaign_id").agg(F.count(F.lit(1)).alias("n"))
               .join(s["campaigns"].select("campaign_id", "offer", "product"), "campaign_id")
-              .groupBy("player_id", "offer", "product").agg(F.count(F.lit(1)).alias("n_clicks")))
+              .groupBy("player_id", "offer", "product").agg(F.sum("n").alias("n_clicks")))
     dep = (s["deposits"].where(F.col("is_confirmed")).groupBy("player_id")
            .agg(F.sum(_dec("amount_brl")).alias("dep")))
     p = s["players"].select("player_id", "acquisition_channel")

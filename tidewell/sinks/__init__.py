@@ -78,12 +78,17 @@ def write_dq_report(results: DataFrame, base: str, ingest_date: str, run_id: str
         return None
 
 
-def publish_snapshot(df: DataFrame, base: str, snapshot_date: str, run_id: str) -> dict:
-    """K5: immutable dated snapshot, then overwrite the ``current`` pointer."""
+def publish_snapshot(df: DataFrame, base: str, snapshot_date: str, run_id: str,
+                     sort_by: list[str] | None = None) -> dict:
+    """K5: immutable dated snapshot, then overwrite the ``current`` pointer.
+
+    With ``sort_by`` (O2) the files, in the order of their names, hold the rows in that order: rows are dealt
+    by range and sorted within each file.
+    """
     snap = os.path.join(base, f"snapshot_date={snapshot_date}", f"run_id={run_id}")
-    info = write_parquet(df, snap, "overwrite")
+    info = write_parquet(df.orderBy(*sort_by) if sort_by else df, snap, "overwrite")
     written = df.sparkSession.read.parquet(snap)
-    write_parquet(written, os.path.join(base, "current"), "overwrite")
+    write_parquet(written.orderBy(*sort_by) if sort_by else written, os.path.join(base, "current"), "overwrite")
     return {**info, "snapshot": snap, "current": os.path.join(base, "current")}
 
 

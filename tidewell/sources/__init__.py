@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +99,33 @@ def read_quote_files(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("currency") != FX_BASE))
 
 
+class SourceUnavailable(RuntimeError):
+    """A source has no data: its path is missing, unreadable or without a usable payload."""
+
+
+#: Conditions under which Spark reports a missing or unreadable path.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE")
+
+
+def _unreadable(e: Exception) -> bool:
+    return isinstance(e, PySparkException) and (e.getCondition() or "").startswith(UNREADABLE)
+
+
+def landed_quotes(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(quotes, hashes of their payloads); SourceUnavailable where there are none."""
+    try:
+        quotes = read_quote_files(spark, path)
+        # one hash per landed payload file, which the calendar bounds
+        digest = [r[0] for r in quotes.select("payload_sha256").distinct().orderBy("payload_sha256").collect()]
+    except PySparkException as e:
+        if not _unreadable(e):
+            raise
+        raise SourceUnavailable(str(e)) from e
+    if not digest:
+        raise SourceUnavailable(f"no payload with quotes under {path}")
+    return quotes, digest
+
+
 DQ_REPORT_SCHEMA = T.StructType([
     T.StructField("entity", T.StringType()), T.StructField("check", T.StringType()),
     T.StructField("column", T.StringType()), T.StructField("severity", T.StringType()),
@@ -131,7 +158,9 @@ def read_previous_fx(spark: SparkSession, current_path: str, start: str, end: st
     """Degraded source (S12): use the previous snapshot only if it covers ``end``."""
     try:
         prev = spark.read.parquet(current_path)
-    except Exception:  # noqa: BLE001
+    except PySparkException as e:
+        if not _unreadable(e):
+            raise
         return None
     covered = prev.agg(F.max("rate_date").alias("m")).first()["m"]
     if covered is None or covered < end:
