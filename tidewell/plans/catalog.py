@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import BRONZE_CONTRACTS, FX_CONTRACT
 from ..operators import dq, fx, silver as sv
-from ..session import state_of
+from ..session import materialise, state_of
 from ..sources import bindings, table_path
 from . import incremental, marts, ops, silver_queries as sq
 from .lake import Lake
@@ -157,7 +157,9 @@ def _gold_checks(lk: Lake) -> DataFrame:
     from ..config import GOLD_CONTRACTS
 
     ref = lk.refs.dormancy_ref
-    tagged = {n: t.withColumn("ingest_date", F.lit(ref.isoformat())) for n, t in lk.star.items()}
+    # the star is written once; every check reads the tables, as the gold job's do
+    tagged = {n: materialise(t, f"star-{n}").withColumn("ingest_date", F.lit(ref.isoformat()))
+              for n, t in lk.star.items()}
     parts = [dq.run_contract(tagged[n], n, c, ref, ["ingest_date"], ratio=False)
              for n, c in GOLD_CONTRACTS.items()]
     fk = dq.run_foreign_keys(tagged, GOLD_CONTRACTS, ["ingest_date"], ratio=False)
