@@ -363,3 +363,20 @@ def test_wrapped_notices_are_found(spark):
     apart = [(1, "Released\n" + "a b c d e f g h\n" * 9 + "under the\n" + "a b c d e f g h\n" * 9 + "MIT\nor other License")]
     row = licenses.scan(spark.createDataFrame(apart, "doc_id long, text string")).first()
     assert (row["labels"], row["score"]) == ("", 0.0)
+
+
+def test_coder_gives_the_tokenizers_ids_for_added_tokens_marks_and_spaces(monkeypatch):
+    import random
+
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    r = random.Random(1)
+    bits = ["a", " ", "\n", "b.", ".", ",", "é,", "1.", "²,", "<|endoftext|>", "x<|endoftext|>y", "İ.", "語,", "\t", "ab "]
+    texts = ["a <|endoftext|> b", "", *["".join(r.choice(bits) for _ in range(r.randrange(30))) for _ in range(3000)]]
+    monkeypatch.setattr(packing, "WORDS_KEPT", 200)  # generations change again and again
+    coder, got = packing.Coder(packing.tokenizer_path()), []
+    for k in range(0, len(texts), 64):
+        got += coder.encode(texts[k:k + 64])
+    assert got == [np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in texts]

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
@@ -44,8 +45,11 @@ class Coder:
     """Token ids as bytes (little-endian unsigned 32-bit), with a memory of words.
 
     The byte-level pattern never joins text across a space that is followed by
-    a non-space, so a text is the concatenation of its pieces cut there.
-    Other white space runs are left to the tokenizer as a whole.
+    a non-space, so a text is the concatenation of its pieces cut there; nor a
+    letter with a full stop or comma behind it. Texts with other white space
+    runs or with the name of an added token are left to the tokenizer whole.
+    The memory has two generations: a full young one becomes the old one, from
+    which words that still occur move back.
     """
 
     def __init__(self, path: str):
@@ -53,30 +57,45 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.words: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", self._ids([".", ","])))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Put words that follow a space, and start with none, into the young generation."""
+        young, old = self.young, self.old
+        cores = {w: w[:-1] if w[-1] in self.marks and w[-2:-1].isalpha() else w for w in words}
+        new = {c for c in cores.values() if c not in young}
+        young.update((c, old[c]) for c in new if c in old)
+        new = [c for c in new if c not in young]
+        young.update(zip(new, self._ids([" " + c for c in new])))
+        for w, c in cores.items():
+            if w is not c:
+                young[w] = young[c] + self.marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.split(" ") for t in texts]
-        new = {w for p in parts for w in p[1:]} - self.words.keys()
-        if new:
-            if len(self.words) + len(new) > WORDS_KEPT:
-                self.words = {}
-                new = {w for p in parts for w in p[1:]}
-            new = [w for w in new if w and not w[0].isspace()]
-            self.words.update(zip(new, self._ids([" " + w for w in new])))
-        heads = self._ids([p[0] for p in parts])
-        out, get = [], self.words.__getitem__
-        for text, head, part in zip(texts, heads, parts):
+        once = list(dict.fromkeys(texts))
+        if len(self.young) > WORDS_KEPT // 2:
+            self.old, self.young = self.young, {}
+        whole = [t for t in once if any(a in t for a in self.added)]
+        parts = {t: t.split(" ") for t in once}
+        for t in whole:
+            del parts[t]
+        heads = dict(zip(parts, self._ids([p.pop(0) for p in parts.values()])))
+        new = set().union(*parts.values()) - self.young.keys()
+        self._learn({w for w in new if w and not w[0].isspace()})
+        get, out = self.young.__getitem__, {}
+        for t, words in parts.items():
             try:
-                out.append(head + b"".join(map(get, part[1:])))
+                out[t] = heads[t] + b"".join(map(get, words))
             except KeyError:  # a run of white space: its split depends on what follows
-                out.append(self._ids([text])[0])
-        return out
+                whole.append(t)
+        out.update(zip(whole, self._ids(whole)))
+        return [out[t] for t in texts]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
