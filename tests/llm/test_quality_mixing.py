@@ -365,7 +365,7 @@ def test_wrapped_notices_are_found(spark):
     assert (row["labels"], row["score"]) == ("", 0.0)
 
 
-def test_coder_gives_the_tokenizers_ids_for_added_tokens_marks_and_spaces(monkeypatch):
+def test_coder_gives_the_tokenizers_ids_for_added_tokens_marks_and_spaces():
     import random
 
     from tokenizers import Tokenizer
@@ -375,8 +375,22 @@ def test_coder_gives_the_tokenizers_ids_for_added_tokens_marks_and_spaces(monkey
     r = random.Random(1)
     bits = ["a", " ", "\n", "b.", ".", ",", "é,", "1.", "²,", "<|endoftext|>", "x<|endoftext|>y", "İ.", "語,", "\t", "ab "]
     texts = ["a <|endoftext|> b", "", *["".join(r.choice(bits) for _ in range(r.randrange(30))) for _ in range(3000)]]
-    monkeypatch.setattr(packing, "WORDS_KEPT", 200)  # generations change again and again
-    coder, got = packing.Coder(packing.tokenizer_path()), []
-    for k in range(0, len(texts), 64):
-        got += coder.encode(texts[k:k + 64])
-    assert got == [np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in texts]
+    coder = packing.Coder(packing.tokenizer_path())
+    want = [np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in texts]
+    assert coder.fast is not None and coder.encode(texts) == want
+    coder.fast = None  # the way for other kinds of tokenizer
+    assert coder.encode(texts) == want
+
+
+def test_coder_gives_the_tokenizers_ids_for_every_character():
+    from tokenizers import Tokenizer
+
+    t, coder = Tokenizer.from_file(packing.tokenizer_path()), packing.coder()
+    points = [c for c in [*range(0x3000), *range(0x3000, 0x110000, 61)] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}1 {chr(c)}{chr(c)} {chr(c)}a .{chr(c)} \n{chr(c)}" for c in points]
+    for k in range(0, len(texts), 5000):
+        want = t.encode_batch(texts[k:k + 5000], add_special_tokens=False)
+        assert [np.frombuffer(g, "<u4").tolist() for g in coder.encode(texts[k:k + 5000])] == [e.ids for e in want]
+    for run in ("a", " ", "\n", "^", "語", "é", "ab"):
+        long = run * 100_000
+        assert np.frombuffer(coder.encode([long])[0], "<u4").tolist() == t.encode(long, add_special_tokens=False).ids
