@@ -35,5 +35,5 @@ def test_stages_take_odd_and_empty_tables(spark, tmp_path):
 
 def test_registry_names():
     names = list(registry.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert set(registry.oracle_sql()) <= set(names)
