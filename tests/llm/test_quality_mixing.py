@@ -202,12 +202,15 @@ def plain_licenses(text):
         at += hits
         if hits:
             base.add(label)
-    for label, template in licenses.TEMPLATES:
-        t = set(licenses.words_of(template))
-        for line in low.split("\n"):
-            share = len(t & set(find(line))) / len(t)
-            if share >= licenses.THRESHOLD - 1e-9:
-                labels.add(label)
+    for t in licenses.TEMPLATES:
+        tw, n = set(find(t.text.lower())), len(find(t.text.lower()))
+        need = next(k for k in range(len(tw) + 1) if k >= (0.8 if len(tw) >= 10 else 1) * len(tw))
+        span = n + len(tw) - need
+        for i in range(max(1, len(ws) - span + 1)):
+            run = set(ws[i:i + span])
+            share = len(tw & run) / len(tw)
+            if len(tw & run) >= need and run >= set(t.required.split()) and not run & set(t.barred.split()):
+                labels.add(t.label)
                 score = max(score, share)
     return (len(ws), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
             ",".join(sorted(base | labels)), 1.0 if at else score)
@@ -348,7 +351,7 @@ def test_wrapped_notices_are_found(spark):
     import textwrap
 
     rows, want = [], {}
-    for k, (label, text) in enumerate(licenses.TEMPLATES):
+    for label, text, *_ in licenses.TEMPLATES:
         for width, mark in ((30, ""), (60, " * "), (45, "# ")):
             i = len(rows)
             lines = textwrap.wrap("Copyright (c) 2020 The Authors. " + text + ". See the file for more.", width)
@@ -357,7 +360,10 @@ def test_wrapped_notices_are_found(spark):
     rows.append((len(rows), "Released\n" + "a b c d e f g h\n" * 9 + "under the\n" + "a b c d e f g h\n" * 9 + "MIT\nLicense"))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["labels"].split(","), r["score"]) for r in licenses.scan(docs).collect()}
+    # its own label, and beside it only a base phrase's that its words hold
+    base = {"apache-2.0": "apache", "gpl-3.0": "gpl", "cc-by-nc": "cc-by"}
     assert all(label in got[i][0] and got[i][1] == 1.0 for i, label in want.items())
+    assert all(set(got[i][0]) <= {label, base.get(label, label)} for i, label in want.items())
     assert got[len(rows) - 1][0] == ["mit"]  # the base phrase only
     # scattered over more words than the template has: no notice
     apart = [(1, "Released\n" + "a b c d e f g h\n" * 9 + "under the\n" + "a b c d e f g h\n" * 9 + "MIT\nor other License")]
@@ -365,6 +371,46 @@ def test_wrapped_notices_are_found(spark):
     assert (row["labels"], row["score"]) == ("", 0.0)
 
 
+GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+       "License as published by the Free Software Foundation, either version 2 of the License, or any later version.")
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("Released under the Apache License.", "apache"),
+    ("We were released from the contract under which the old license had been sold", ""),
+    (GPL, "gpl"), (GPL.replace("General", "Lesser General"), "lgpl"), (GPL.replace("General", "Affero General"), "agpl"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("Licensed under CC BY 4.0", "cc-by"), ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"),
+    ("This work is licensed under the GNU General Public License, version 2", "gpl"),
+    ("This work is licensed under the GNU General Public License, version 3", "gpl,gpl-3.0"),
+    ("the old mill was under repair when the license of the ferry was released and " * 9 + "MIT", ""),
+])
+def test_licences_are_told_apart(spark, text, labels):
+    filler = "Notes on the river and the mill. " * 40
+    rows = [(1, text), (2, f"{filler}{text} {filler}"), (3, "\n".join(text.split(" ")))]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["labels"] for r in got} == {labels} and len(got) == 3
+    assert all(plain_licenses(t)[5] == labels for _, t in rows)
+
+
+def test_licence_sql_counts_runs_like_the_operator(spark):
+    """Wrapped notices, relatives and notices inside long lines through the SQL, against brute force."""
+    import duckdb
+    import pandas as pd
+
+    from tidewell.llm import oracle
+
+    texts = [None, "", GPL, "\n".join(GPL.split(" ")), GPL.replace("General", "Lesser General"), "x " * 90 + GPL + " y" * 90]
+    texts += ["a b\n" * 31 + t.text.replace(" ", "\n", 3) + "\nc d" * 31 for t in licenses.TEMPLATES]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": pd.Series(texts, dtype="object")}))
+    out = con.execute(oracle.sql()["op8_license_scan"]).df().astype(object)
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    got = {r["doc_id"]: tuple(None if pd.isna(r[c]) else r[c] for c in names) for r in out.to_dict("records")}
+    assert got == {i: plain_licenses(t) for i, t in enumerate(texts)}
+
+
 def test_coder_gives_the_tokenizers_ids_for_added_tokens_marks_and_spaces():
     import random
 

@@ -1,10 +1,13 @@
 """Operator 8: license scan by an exact set-similarity join (DataFrame functions only).
 
 Base labels come from phrases whose words stand consecutively. Further labels
-come from notice templates: a text block has a template's label if it holds at
-least ``THRESHOLD`` of the template's distinct words. Blocks are the lines, and,
-as notices are wrapped, every run of as many words as the template has,
-whatever lines it stands on.
+come from notice templates. Text blocks are runs of consecutive words, whatever
+lines they stand on, because notices are wrapped and also stand inside long
+lines: a run has as many words as the template plus as many as it may lack. A
+run has the template's label if it holds ``THRESHOLD`` of the template's
+distinct words (all of them where the template has fewer than ``WHOLE``), every
+word that tells the licence from its relatives, and none that marks a relative
+(a notice with "lesser" or "affero" is no plain GPL notice).
 
 The join finds every such pair. Template words are ordered by the number of
 documents that hold them, rarest first, so a block that shares ``need`` of a
@@ -12,8 +15,8 @@ template's n words must hold one of its first n - need + 1 (prefix filter), must
 itself have ``need`` distinct words (length filter), and, when its first shared
 word is the template's j-th, must still be able to reach ``need`` with the
 words from there on in both orders (positional filter). A pair is taken at its
-first shared prefix word only, then its overlap is counted exactly. Runs of words
-go through the join in chunks: chunks of twice the longest template, each half
+first shared prefix word only, then its overlap is counted exactly. Runs go
+through the join in chunks: chunks of twice the longest run, each half
 overlapping the next, hold every run whole, so a chunk meets what its runs meet;
 of the chunks that pass, the best run is counted. The templates are a bounded
 parameter; they are the broadcast side.
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import math
 import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,29 +49,53 @@ PHRASES = {
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 THRESHOLD = 0.8
+#: Templates of fewer distinct words must be there whole.
+WHOLE = 10
+
+
+class Template(NamedTuple):
+    """A notice, the words a run must hold whatever its share, and those it must not hold."""
+
+    label: str
+    text: str
+    required: str = ""
+    barred: str = ""
+
+
+#: Words that make another licence of the GPL and of CC BY.
+GNU_KIN = "lesser library affero"
+CC_KIN = "sharealike noncommercial noderivatives noderivs nc sa nd"
 #: Notices of the method's own labels, as published by their stewards.
 TEMPLATES = [
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("apache-2.0", "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
-                   "either express or implied"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
-            "Free Software Foundation"),
-    ("lgpl", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
-    ("agpl", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files, to deal in the Software without restriction"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-            "following conditions are met"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc0", "has waived all copyright and related or neighboring rights to this work under CC0"),
-    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    Template("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    Template("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the "
+                           "License at", "file compliance obtain"),
+    Template("apache-2.0", "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+                           "CONDITIONS OF ANY KIND, either express or implied", "basis warranties conditions"),
+    Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3", "gnu version 3", GNU_KIN),
+    Template("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+                    "by the Free Software Foundation", "gnu general public license", GNU_KIN),
+    Template("lgpl", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+             "gnu lesser"),
+    Template("agpl", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+             "gnu affero"),
+    Template("mit", "Released under the MIT License"),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                    "associated documentation files, to deal in the Software without restriction",
+             "permission granted charge software"),
+    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                    "that the following conditions are met", "redistribution source binary"),
+    Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla 2"),
+    Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                    "hereby granted", "permission granted fee"),
+    Template("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    Template("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+             "creative commons attribution sharealike", "noncommercial nc"),
+    Template("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License",
+             "creative commons attribution", CC_KIN),
+    Template("cc0", "has waived all copyright and related or neighboring rights to this work under CC0", "waived cc0"),
+    Template("unlicense", "This is free and unencumbered software released into the public domain",
+             "unencumbered public domain"),
 ]
 
 
@@ -97,38 +125,41 @@ def template_frequencies(docs: DataFrame, vocabulary: list[str], text_col: str =
     return {w: 0 for w in vocabulary} | {r["w"]: r["count"] for r in rows}
 
 
-def prefixes(templates: list[tuple[str, str]], frequency: dict[str, int], threshold: float = THRESHOLD) -> list[dict]:
-    """Per template: its words rarest first, how many a block needs, and its prefix."""
+def prefixes(templates: list[Template], frequency: dict[str, int], threshold: float = THRESHOLD) -> list[dict]:
+    """Per template: its words rarest first, how many a run needs, the run's words, and its prefix."""
     out = []
-    for k, (label, text) in enumerate(templates):
-        ws = sorted(set(words_of(text)), key=lambda w: (frequency[w], w))
-        need = math.ceil(threshold * len(ws) - 1e-9)
-        out.append({"template": k, "label": label, "words": ws, "length": len(words_of(text)), "need": need,
+    for k, t in enumerate(templates):
+        ws = sorted(set(words_of(t.text)), key=lambda w: (frequency[w], w))
+        need = len(ws) if len(ws) < WHOLE else math.ceil(threshold * len(ws) - 1e-9)
+        out.append({"template": k, "label": t.label, "words": ws, "span": len(words_of(t.text)) + len(ws) - need,
+                    "need": need, "required": t.required.split(), "barred": t.barred.split(),
                     "prefix": ws[:len(ws) - need + 1]})
     return out
 
 
-def similar_blocks(blocks: DataFrame, plan: list[dict]) -> DataFrame:
-    """Blocks (k1, k2, words, run) x templates with enough containment: (k1, k2, template, label, share).
+def similar_runs(chunks: DataFrame, plan: list[dict]) -> DataFrame:
+    """Chunks (k1, k2, run: words in order) x templates with enough containment: (k1, k2, template, label, share).
 
-    ``words`` are distinct. ``run`` is null, or a chunk's words in order: then the best of its runs of the
-    template's length counts.
+    ``share`` is that of the best of the chunk's runs of the template's span that hold its required words
+    and none of its barred ones.
     """
-    spark = blocks.sparkSession
-    rows = [(t["prefix"][j], t["template"], t["label"], t["words"], t["length"], t["need"], j, t["prefix"][:j])
-            for t in plan for j in range(len(t["prefix"]))]
-    side = spark.createDataFrame(rows, "word string, template int, label string, twords array<string>, length int, "
-                                       "need int, place int, before array<string>")
+    spark = chunks.sparkSession
+    rows = [(t["prefix"][j], t["template"], t["label"], t["words"], t["span"], t["need"], j, t["prefix"][:j],
+             t["required"], t["barred"]) for t in plan for j in range(len(t["prefix"]))]
+    side = spark.createDataFrame(rows, "word string, template int, label string, twords array<string>, span int, need int, "
+                                       "place int, before array<string>, required array<string>, barred array<string>")
     firsts = _quoted(sorted({r[0] for r in rows}))
-    shared = blocks.withColumn("hit", F.expr(f"array_intersect(words, {firsts})")).where("size(hit) > 0")
+    shared = chunks.withColumn("words", F.array_distinct("run")).withColumn(
+        "hit", F.expr(f"array_intersect(words, {firsts})")).where("size(hit) > 0")
     met = shared.select("k1", "k2", "words", "run", F.explode("hit").alias("word")).join(F.broadcast(side), "word")
     met = met.where("size(words) >= need")  # length
     met = met.where("size(twords) - place >= need")  # position: words left from here on
     met = met.where("not arrays_overlap(words, before)")  # first shared prefix word
-    met = met.withColumn("overlap", F.expr("size(array_intersect(words, twords))")).where("overlap >= need")
-    best = ("array_max(transform(sequence(1, greatest(1, size(run) - length + 1)), "
-            "i -> size(array_intersect(slice(run, i, length), twords))))")
-    met = met.withColumn("overlap", F.expr(f"if(run is null, overlap, {best})")).where("overlap >= need")
+    met = met.where("size(array_except(required, words)) = 0 and size(array_intersect(words, twords)) >= need")
+    runs = "transform(sequence(1, greatest(1, size(run) - span + 1)), i -> slice(run, i, span))"
+    fit = f"filter({runs}, r -> size(array_except(required, r)) = 0 and not arrays_overlap(r, barred))"
+    met = met.withColumn("overlap", F.expr(
+        f"coalesce(array_max(transform({fit}, r -> size(array_intersect(r, twords)))), 0)")).where("overlap >= need")
     return met.select("k1", "k2", "template", "label", (F.col("overlap") / F.size("twords")).alias("share"))
 
 
@@ -139,7 +170,7 @@ def _places(phrase: str) -> str:
             f"filter(sequence(0, size(w) - {len(ws)}), i -> {cond}), cast(array() as array<int>))")
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, threshold: float = THRESHOLD,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -147,7 +178,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     """
     texts = docs.select(F.col(id_col).alias("doc_id"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    vocabulary = sorted({w for _, t in templates for w in words_of(t)})
+    vocabulary = sorted({w for t in templates for w in words_of(t.text)})
     plan = prefixes(templates, template_frequencies(texts, vocabulary), threshold)
     least = min(t["need"] for t in plan)
     firsts = _quoted(sorted({w for t in plan for w in t["prefix"]}))
@@ -159,27 +190,22 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     base = base.withColumn("places", every)
     labels = F.array_compact(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(label))
                                        for k, label in enumerate(PHRASES.values())]))
-    # Only texts with a rare template word have their lines and chunks looked at; of those, the ones long enough.
-    lines = F.expr(f"if(arrays_overlap(w, {firsts}), filter(transform(split(text, '\\n'), "
-                   f"l -> array_distinct({_words('l')})), b -> size(b) >= {least} and arrays_overlap(b, {firsts})), null)")
-    span = max(t["length"] for t in plan)
-    chunks = F.expr(f"if(contains(text, '\\n') and arrays_overlap(w, {firsts}), filter(transform("
-                    f"sequence(0, greatest(0, (size(w) - 1) div {span})), k -> slice(w, int(k * {span}) + 1, {2 * span})), "
-                    f"b -> size(b) >= {least} and arrays_overlap(b, {firsts})), null)")
+    # Only texts with a rare template word are cut into chunks; no chunk but the first has fewer than span + 1 words.
+    span = max(t["span"] for t in plan)
+    chunks = F.expr(f"if(arrays_overlap(w, {firsts}), filter(transform("
+                    f"sequence(0, greatest(0, (size(w) - 1) div {span} - 1)), "
+                    f"k -> slice(w, int(k * {span}) + 1, {2 * span})), "
+                    f"b -> size(array_distinct(b)) >= {least} and arrays_overlap(b, {firsts})), null)")
     marked = base.select("doc_id", "k1", "k2", F.size("w").cast("long").alias("n_words"),
                          F.size("places").cast("long").alias("n_base"),
                          F.array_min("places").cast("long").alias("first_word"),
                          F.array_max("places").cast("long").alias("last_word"),
-                         F.array_sort(F.array_distinct(labels)).alias("base"), lines.alias("lines"),
-                         chunks.alias("chunks"))
+                         F.array_sort(F.array_distinct(labels)).alias("base"), chunks.alias("chunks"))
     marked = materialise(marked, "license-marks")
-    blocks = marked.where("size(lines) > 0").select("k1", "k2", F.explode("lines").alias("words")).withColumn(
-        "run", F.lit(None).cast("array<string>"))
     runs = marked.where("size(chunks) > 0").select("k1", "k2", F.explode("chunks").alias("run"))
-    blocks = blocks.unionByName(runs.withColumn("words", F.array_distinct("run")))
-    found = similar_blocks(blocks, plan).groupBy("k1", "k2").agg(
+    found = similar_runs(runs, plan).groupBy("k1", "k2").agg(
         F.collect_set("label").alias("more"), F.max("share").alias("share"))
-    met = attach(marked.drop("lines", "chunks"), materialise(found, "license-found"), ["k1", "k2"])
+    met = attach(marked.drop("chunks"), materialise(found, "license-found"), ["k1", "k2"])
     both = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
     return met.select("doc_id", "n_words", "n_base", "first_word", "last_word",
                       F.array_join("base", ",").alias("base_labels"), F.array_join(both, ",").alias("labels"),

@@ -81,10 +81,12 @@ def _licenses() -> str:
         hits.append(f"list_filter(range(1, len(w) + 1), lambda i: {cond}) AS p{k}")
         labels.append(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END")
     rows = []
-    for k, (label, text) in enumerate(licenses.TEMPLATES):
-        ws = sorted(set(licenses.words_of(text)))
-        need = math.ceil(licenses.THRESHOLD * len(ws) - 1e-9)
-        rows.append(f"({k}, '{label}', [{', '.join(repr(w) for w in ws)}], {need})")
+    listed = lambda ws: f"CAST([{', '.join(repr(w) for w in ws)}] AS VARCHAR[])"
+    for k, t in enumerate(licenses.TEMPLATES):
+        ws = sorted(set(licenses.words_of(t.text)))
+        need = len(ws) if len(ws) < licenses.WHOLE else math.ceil(licenses.THRESHOLD * len(ws) - 1e-9)
+        span = len(licenses.words_of(t.text)) + len(ws) - need
+        rows.append(f"({k}, '{t.label}', {listed(ws)}, {need}, {span}, {listed(t.required.split())}, {listed(t.barred.split())})")
     n = len(licenses.PHRASES)
     places = " || ".join(f"p{k}" for k in range(n))
     return rf"""
@@ -92,10 +94,13 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {lower.format(t="coalesce
 w AS (SELECT rid, doc_id, t, {words.format(t="t")} AS w FROM d),
 p AS (SELECT rid, doc_id, len(w) AS n, {', '.join(hits)} FROM w),
 q AS (SELECT rid, doc_id, n, {places} AS at, list_filter([{', '.join(labels)}], lambda x: x IS NOT NULL) AS base FROM p),
-t(template, label, tw, need) AS (VALUES {', '.join(rows)}),
-b AS (SELECT rid, list_distinct({words.format(t="u.l")}) AS bw FROM d, unnest(string_split(t, chr(10))) AS u(l)),
-s AS (SELECT rid, label, len(list_intersect(bw, tw)) AS o, len(tw) AS m FROM b, t
-      WHERE len(bw) >= need AND len(list_intersect(bw, tw)) >= need),
+t(template, label, tw, need, span, required, barred) AS (VALUES {', '.join(rows)}),
+b AS (SELECT rid, w, label, tw, need, span, required, barred FROM w, t WHERE len(list_intersect(w, tw)) >= need),
+r AS (SELECT rid, label, tw, need, required, barred, w[u.i:u.i + span - 1] AS bw
+      FROM b, unnest(range(1, greatest(1, len(w) - span + 1) + 1)) AS u(i)),
+s AS (SELECT rid, label, len(list_intersect(bw, tw)) AS o, len(tw) AS m FROM r
+      WHERE len(list_intersect(bw, tw)) >= need AND len(list_intersect(bw, required)) = len(required)
+        AND len(list_intersect(bw, barred)) = 0),
 g AS (SELECT rid, list_distinct(list(label)) AS more, max(o / m) AS share FROM s GROUP BY rid)
 SELECT q.doc_id, CAST(q.n AS BIGINT) AS n_words, CAST(len(q.at) AS BIGINT) AS n_base,
        CAST(list_min(q.at) - 1 AS BIGINT) AS first_word, CAST(list_max(q.at) - 1 AS BIGINT) AS last_word,
