@@ -1,18 +1,21 @@
 """Operator 7: line dedup by site-relative frequency.
 
-Per host, a line's frequency is the number of the host's pages that hold it
-over the host's pages. Lines above ``ratio`` are boilerplate and are dropped
-from every page of that host. A host with few pages says nothing about
-boilerplate, so a line must also stand in at least ``min_pages`` pages.
+A page is a different text of its host, so copies of a whole document count
+once, above and below the line, and make no boilerplate of their own lines. A
+line's frequency is the number of the host's pages that hold it over the host's
+pages. Lines that stand in more than one page and in more than ``ratio`` of them
+are boilerplate and are dropped from every row of that host. A line of one page
+alone repeats nowhere, so it stays however few pages its host has.
 
-Lines are compared trimmed, by two independent hashes (96 bits); blank lines
-are never boilerplate. Pages are reduced to distinct line digests before the
-shuffle, so a hot host is pre-aggregated in its map tasks; the boilerplate of
-one host has at most (mean lines per page) / ratio digests.
+Lines are compared trimmed, by two independent hashes (96 bits), texts likewise;
+blank lines are never boilerplate. Lines are reduced to distinct (line, page)
+keys of fixed width before the shuffle and are counted after it in two steps, so
+copies collapse in the map tasks and a hot host or line is no hot group; the
+boilerplate of one host has at most (mean lines per page) / ratio digests.
 
-Results for odd rows: null text stays null; a null host is a host of its own;
-text whose lines are all dropped becomes empty; repeated rows count as pages
-of their own; an empty table gives an empty table.
+Results for odd rows: null text stays null and is no page; a null host is a host
+of its own; text whose lines are all dropped becomes empty; repeated rows are one
+page and lose the same lines; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,8 +26,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import SPACES, attach, materialise
 
 #: A line in more than this share of a host's pages is boilerplate.
-RATIO = 0.3
-MIN_PAGES = 5
+RATIO = 0.1
 
 
 def _digests(text: str) -> str:
@@ -36,16 +38,17 @@ def _digests(text: str) -> str:
 
 
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-                ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                ratio: float = RATIO) -> DataFrame:
     """(host, lines): per host the digests of its boilerplate lines."""
     pages = docs.select(F.col(host_col).cast("string").alias("host"),
                         F.col(text_col).cast("string").alias("text")).where("text is not null")
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).select(
-        F.col("host").alias("site"), "pages")
-    lines = pages.select("host", F.explode(F.expr(
+    pages = pages.select("host", "text", F.xxhash64("text").alias("p"), F.hash("text").alias("q"))
+    totals = pages.select("host", "p", "q").distinct().groupBy("host").agg(
+        F.count(F.lit(1)).alias("pages")).select(F.col("host").alias("site"), "pages")
+    lines = pages.select("host", "p", "q", F.explode(F.expr(
         f"array_compact(array_distinct({_digests('text')}))")).alias("d"))
-    often = lines.groupBy("host", "d.a", "d.b").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") >= min_pages)
+    held = lines.select("host", "d.a", "d.b", "p", "q").distinct()
+    often = held.groupBy("host", "a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # n > ratio * pages, in whole numbers of a millionth
     found = often.join(totals, F.col("host").eqNullSafe(F.col("site"))).where(
         F.col("n") * 1_000_000 > F.col("pages") * round(ratio * 1_000_000))
@@ -53,9 +56,9 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-                     ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                     ratio: float = RATIO) -> DataFrame:
     """``docs`` with two columns more, ``n_lines`` and ``n_dropped``, and boilerplate gone from the text."""
-    known = materialise(boilerplate(docs, host_col, text_col, ratio, min_pages), "line-boilerplate")
+    known = materialise(boilerplate(docs, host_col, text_col, ratio), "line-boilerplate")
     known = known.select(F.coalesce("host", F.lit("")).alias("host__"),
                          F.isnull("host").alias("none__"), F.col("lines").alias("lines__"))
     rows = docs.select(F.struct("*").alias("row__")).select(

@@ -58,10 +58,10 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documen
 l AS (SELECT rid, source, u.i AS i, string_split(text, chr(10))[u.i] AS l
       FROM d, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i) WHERE text IS NOT NULL),
 k AS (SELECT *, {_BLANK.format(l="l")} AS k FROM l),
-n AS (SELECT source, k, count(DISTINCT rid) AS n FROM k WHERE k <> '' GROUP BY source, k),
-h AS (SELECT source, count(*) AS pages FROM d WHERE text IS NOT NULL GROUP BY source),
+n AS (SELECT k.source, k, count(DISTINCT text) AS n FROM k JOIN d USING (rid) WHERE k <> '' GROUP BY k.source, k),
+h AS (SELECT source, count(DISTINCT text) AS pages FROM d WHERE text IS NOT NULL GROUP BY source),
 b AS (SELECT n.source, n.k, true AS hit FROM n JOIN h ON n.source IS NOT DISTINCT FROM h.source
-      WHERE n.n >= {linededup.MIN_PAGES} AND n.n * 1000000 > h.pages * {share}),
+      WHERE n.n > 1 AND n.n * 1000000 > h.pages * {share}),
 r AS (SELECT k.rid, count(*) AS n_lines, count(b.hit) AS n_dropped,
              coalesce(string_agg(k.l, chr(10) ORDER BY k.i) FILTER (WHERE b.hit IS NULL), '') AS kept
       FROM k LEFT JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.k = b.k GROUP BY k.rid)
