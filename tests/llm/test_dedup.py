@@ -191,21 +191,20 @@ def test_long_texts_are_scanned_whole(spark):
 
 
 def plain_units(rows, least=units.MIN_WORDS):
-    """Earliest by (doc_id, place) stays; rows of one doc_id are one document, null ids the last."""
+    """Earliest by (doc_id, text hash, row, place) stays; null ids are the last."""
     last = max([i for i, _ in rows if i is not None], default=0) + 1
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
     found = []
     for n, (i, text) in enumerate(rows):
+        h = signed(xxhash.xxh64_intdigest((text or "").encode(), 42))
         for a, b, words in units.units(text or ""):
             if len(words.split()) >= least:
-                found.append((last if i is None else i, n, a, b, words.translate(units._LOWER)))
-    first = {}
-    for rank, *_, words in found:
-        first[words] = min(first.get(words, rank), rank)
+                found.append(((last if i is None else i, h, n), a, b, words.translate(units._LOWER)))
     out, seen = defaultdict(list), set()
-    for rank, n, a, b, words in found:
-        if rank > first[words] or (n, words) in seen:
-            out[n].append((a, b))
-        seen.add((n, words))
+    for rank, a, b, words in sorted(found):
+        if words in seen:
+            out[rank[-1]].append((a, b))
+        seen.add(words)
     return [(i, out[n]) for n, (i, _) in enumerate(rows)]
 
 
@@ -226,6 +225,17 @@ def test_unit_dedup_matches_brute_force(spark, which):
     assert units.dedup(fixtures.empty(spark)).count() == 0
 
 
+def test_rows_without_or_with_the_same_id_are_documents_of_their_own(spark):
+    tail = " And the ferry went home before the storm reached the harbor."
+    rows = [(1, fixtures.LONG), (1, fixtures.LONG), (1, fixtures.LONG), (None, fixtures.LONG + tail), (None, fixtures.LONG + tail),
+            (None, tail), (2, "A line that only the second of them has ever held so far."), (2, tail * 2), (None, None)]
+    out = units.dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "row.text", "removed").collect()
+    got = [(r[0], r[1], str([(s["start"], s["end"]) for s in r[2]])) for r in out]
+    assert key(got) == key([(i, t, str(cut)) for (i, t), (_, cut) in zip(rows, plain_units(rows))])
+    whole = [r for r in got if r[0] == 1 and r[2].count("(") == fixtures.LONG.count("light.")]
+    assert len(whole) == 2  # of three equal rows one keeps its first sentence
+
+
 def test_units_cover_the_text():
     text = "One two. Three\n four?  five!\n\nsix 3.5 seven."
     assert [text[a:b] for a, b, _ in units.units(text)] == ["One two.", "Three", "four?", "five!", "six 3.5 seven."]
