@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidewell.llm import centroids, classifier, oracle, registry, whitening
+from tidewell.llm import centroids, classifier, oracle, registry, topk, whitening
 
 VECTORS = "vec_id long, embedding array<double>, label int, x string, id string, d string, cluster string, n string"
 
@@ -249,3 +249,32 @@ def test_training_is_stable_at_high_rates():
     score = m.scorer()
     assert np.isfinite(m.vectors).all()
     assert score(classifier.features("spam " * 9)) < 0.3 < 0.7 < score(classifier.features("blue pink red green"))
+
+
+@pytest.mark.parametrize("first", [topk.FIRST, 64])
+def test_top_k_over_several_rounds_matches_a_scan(spark, first, monkeypatch):
+    """600 random codes without near neighbours: queries close in different rounds, whatever a round takes."""
+    steps = topk.rounds
+    monkeypatch.setattr(topk, "rounds", lambda segs: steps(segs, first))
+    rng = np.random.default_rng(5)
+    bits = rng.integers(0, 2, (600, 64))
+    rows = [(i, [float(2 * b - 1) for b in v]) for i, v in enumerate(bits)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id % 40 = 0"), 7).collect()
+    want = []
+    for q in range(0, 600, 40):
+        near = sorted((int((bits[q] != v).sum()), i) for i, v in enumerate(bits))[:7]
+        want += [(q, place + 1, i, d) for place, (d, i) in enumerate(near)]
+    assert sorted((r["query_id"], r["rank"], r["id"], r["distance"]) for r in got) == want
+
+
+def test_top_k_rounds_take_every_step_once_and_cover_by_pigeonhole():
+    segs = topk.segments(128, 5000)
+    steps = [s for part in topk.rounds(segs) for s in part]
+    widest = max(s[2] for s in segs)
+    assert steps == [(k, r) for r in range(widest + 1) for k in range(len(segs))]
+    rng = np.random.default_rng(2)
+    for _ in range(200):  # a code at distance t - 1 or less is met within t steps
+        flips = rng.integers(0, 2, 128) * (rng.random(128) < rng.random())
+        parts = [int(flips[64 * w + a:64 * w + a + n].sum()) for w, a, n in segs]
+        assert min(steps.index((k, d)) for k, d in enumerate(parts)) <= sum(parts)

@@ -2,13 +2,16 @@
 
 A vector's code is the signs of its components. Codes are cut into m segments
 of about log2(codes) bits, and an index table holds each distinct code under
-every (segment, value). Round r probes, for each open query, the segment
-values at exactly r flipped bits. After round r every code within
-m * (r + 1) - 1 bits has been met (a farther one must differ in more than r
-bits in every segment), so a query is closed once its k-th verified distance
-lies within that radius; the rest goes on with r + 1.
-
-A code met through several segments or rounds is taken where it is met first,
+every (segment, value). A step grows one segment's search radius by one: it
+probes the segment's values at exactly r flipped bits, all segments at r = 0
+before any at r = 1, so the step with the fewest masks is always next. A code
+that was not met differs in more than r_i bits in every segment i, so after t
+steps every code within t - 1 bits has been met, and a query is closed once its
+k-th verified distance lies within that radius. A round takes the next steps
+until their masks come to a quarter of those before (``FIRST`` at least), so
+there are few rounds and a query is probed little beyond what it needs.
+
+A code met through several segments or steps is taken where it is met first,
 which is a condition on the two codes alone, so there is no distinct step.
 Equal vectors are one code: a code that a third of all rows share is indexed,
 probed and searched once, with its k smallest ids as members.
@@ -22,6 +25,7 @@ The query's own row is a result like any other ("against all rows").
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -33,26 +37,32 @@ K = 10
 EVERY = 20
 #: Probing is cheaper than a scan up to about 2^16 values a segment.
 MAX_SEGMENT = 16
+#: Masks of a round: this many at least, and a quarter of those of the rounds before.
+FIRST = 512
 
 
 def codes(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[DataFrame, int]:
-    """(id, c0, c1, ...) with 64 sign bits a column, and the number of columns."""
+    """(id, c0, c1, ...) with 64 sign bits a column, and the number of bits."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).where("v is not null")
-    size = v.agg(F.max(F.size("v"))).first()[0] or 1
+    size = max(1, v.agg(F.max(F.size("v"))).first()[0] or 1)
     words = max(1, math.ceil(size / 64))
     bits = [F.expr(
         f"aggregate(slice(v, {64 * w + 1}, 64), struct(0L as x, 0 as i), (s, e) -> struct("
         f"s.x | shiftleft(cast(coalesce(e > 0, false) as bigint), s.i) as x, s.i + 1 as i), s -> s.x)"
     ).alias(f"c{w}") for w in range(words)]
-    return v.select("id", *bits), words
+    return v.select("id", *bits), size
 
 
-def segments(words: int, n_codes: int) -> list[tuple[int, int, int]]:
-    """(column, shift, width) of the segments, widths near log2 of the number of codes."""
+def segments(size: int, n_codes: int) -> list[tuple[int, int, int]]:
+    """(column, shift, width) of the segments of ``size`` bits, widths near log2 of the number of codes."""
     want = min(MAX_SEGMENT, max(4, round(math.log2(max(n_codes, 2)))))
-    parts = math.ceil(64 / want)
-    cuts = [64 * k // parts for k in range(parts + 1)]
-    return [(w, a, b - a) for w in range(words) for a, b in zip(cuts, cuts[1:])]
+    out = []
+    for w in range(math.ceil(size / 64)):
+        bits = min(64, size - 64 * w)
+        parts = math.ceil(bits / want)
+        cuts = [bits * k // parts for k in range(parts + 1)]
+        out += [(w, a, b - a) for a, b in zip(cuts, cuts[1:])]
+    return out
 
 
 def _value(prefix: str, seg: tuple[int, int, int]):
@@ -70,49 +80,67 @@ def _by_segment(df: DataFrame, segs) -> DataFrame:
     return df.select("*", F.explode(each).alias("s")).select(*df.columns, "s.seg", "s.val")
 
 
+def rounds(segs: list[tuple[int, int, int]], first: int = FIRST) -> Iterator[list[tuple[int, int]]]:
+    """The steps (segment, radius) of each round, cheapest first."""
+    used, now, masks = 0, [], 0
+    for r in range(max(s[2] for s in segs) + 1):
+        for k, (_, _, width) in enumerate(segs):
+            now.append((k, r))
+            masks += math.comb(width, r)
+            if masks >= max(first, used / 4):
+                yield now
+                used, now, masks = used + masks, [], 0
+    if now:
+        yield now
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id",
           vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, distance): the k nearest rows of ``vectors`` for each row of ``queries``."""
     spark = vectors.sparkSession
-    rows, words = codes(vectors, id_col, vec_col)
+    rows, size = codes(vectors, id_col, vec_col)
     rows = materialise(rows, "topk-rows")
-    asked, qwords = codes(queries, id_col, vec_col)
-    words = max(words, qwords)
-    cols = [f"c{w}" for w in range(words)]
+    asked, asked_size = codes(queries, id_col, vec_col)
+    size = max(size, asked_size)
+    cols = [f"c{w}" for w in range(math.ceil(size / 64))]
     pad = lambda df: df.select("id", *[F.col(c) if c in df.columns else F.lit(0).cast("long").alias(c) for c in cols])
     rows, asked = pad(rows), materialise(pad(asked), "topk-queries")
     known = materialise(rows.groupBy(*cols).agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("n")), "topk-codes")
     n_codes = known.count()
-    segs = segments(words, n_codes)
+    segs = segments(size, n_codes)
     index = materialise(_by_segment(known, segs), "topk-index")
     open_ = materialise(asked.groupBy(*cols).agg(F.min("id").alias("qid")).select(
         "qid", *[F.col(c).alias(f"q_{c}") for c in cols]), "topk-open")
     q_cols = [f"q_{c}" for c in cols]
     distance = sum((F.bit_count(F.col(f"q_{c}").bitwiseXOR(F.col(c))) for c in cols), F.lit(0))
     nearest = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "cid"))
-    best, closed, widest = None, None, max(s[2] for s in segs)
-    for r in range(widest + 1):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    best, closed, taken = None, None, 0
+    for steps in rounds(segs):
         if open_.isEmpty():
             break
         masks = spark.createDataFrame(
-            [(k, sum(1 << b for b in bits)) for k, s in enumerate(segs) for bits in combinations(range(s[2]), r)],
-            "seg int, mask long")
+            [(i, r, sum(1 << b for b in bits)) for i, r in steps for bits in combinations(range(segs[i][2]), r)],
+            "seg int, r int, mask long")
         each = F.array(*[F.struct(F.lit(i).alias("seg"), _value("q_", s).alias("at")) for i, s in enumerate(segs)])
-        probes = open_.select("qid", *q_cols, F.explode(each).alias("s")).select("qid", *q_cols, "s.seg", "s.at").join(
-            F.broadcast(masks), "seg").select("qid", *q_cols, "seg", F.col("at").bitwiseXOR(F.col("mask")).alias("val"))
+        # Dealt out before they multiply: the open queries are one small file.
+        probes = open_.repartition(tasks, "qid").select("qid", *q_cols, F.explode(each).alias("s")).select(
+            "qid", *q_cols, "s.seg", "s.at").join(F.broadcast(masks), "seg").select(
+            "qid", *q_cols, "seg", "r", F.col("at").bitwiseXOR(F.col("mask")).alias("val"))
         met = probes.join(index, ["seg", "val"])
         # Met first here: no segment before this one within r bits, none after it within r - 1.
         # One sum, not a chain of conjuncts, which the optimizer would infer constraints from.
         earlier = F.lit(0)
         for i, s in enumerate(segs):
             d = _flipped(s)
-            earlier = earlier + F.when(F.col("seg") > i, d <= r).when(F.col("seg") < i, d < r).otherwise(
+            earlier = earlier + F.when(F.col("seg") > i, d <= F.col("r")).when(F.col("seg") < i, d < F.col("r")).otherwise(
                 F.lit(False)).cast("int")
         found = met.where(earlier == 0).select("qid", "cid", "n", distance.alias("dist"))
         if best is not None:
             found = found.unionByName(best)
         best = materialise(found.withColumn("place", nearest).where(F.col("place") <= k).drop("place"), "topk-best")
-        sure = len(segs) * (r + 1) - 1
+        taken += len(steps)
+        sure = taken - 1
         # Closed: k rows within the radius that is covered, or every code met.
         done = best.where(F.col("dist") <= sure).groupBy("qid").agg(F.sum("n").alias("n")).where(F.col("n") >= k)
         done_ids = done.select("qid")
