@@ -161,30 +161,34 @@ def fp_hex(fp):
 def keep_first(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` without near duplicates: of each component the row of its smallest doc_id.
 
-    Rows that share a doc_id are told apart by their texts: each component that starts
-    with it keeps one of them, of the smallest fingerprint, then text hash. Rows with a
-    null doc_id cannot be named as members and pass unchanged. The texts meet the ids
-    that go (and the repeated ones), not those that stay: the shorter list of the two.
+    Rows without a doc_id are their component's last: one stays only where the whole
+    component has none. Rows that share a doc_id, or have none, are told apart by their
+    texts: each component that starts with it keeps one of them, of the smallest
+    fingerprint, then text hash. The texts meet the ids that go (and the repeated ones),
+    not those that stay: the shorter list of the two.
     """
-    found = _placed(docs, words, max_bits, "doc_id", "text").where("doc_id is not null")
-    first = F.col("doc_id") == F.col("component_id")
+    found = _placed(docs, words, max_bits, "doc_id", "text")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     odd = materialise(found.groupBy("doc_id").agg(
         F.count_if(first).alias("n"), F.count(F.lit(1)).alias("rows")).where("n <> 1 or rows > 1"), "simhash-odd")
-    kept = docs.join(odd.select("doc_id"), "doc_id", "left_anti")
-    again = odd.where("n > 0").select("doc_id")
+    odd = odd.select(F.col("doc_id").alias("odd__"), "n")
+    kept = docs.join(odd, docs["doc_id"].eqNullSafe(odd["odd__"]), "left_anti")
+    again = odd.where("n > 0").select("odd__")
     if not again.isEmpty():
-        firsts = found.where(first).join(again, "doc_id", "left_semi").groupBy("doc_id", "root").agg(
-            F.min("fp").alias("fp")).select(F.col("doc_id").alias("id__"), F.col("fp").alias("fp__"))
+        firsts = found.where(first).join(again, F.col("doc_id").eqNullSafe(F.col("odd__")), "left_semi")
+        firsts = materialise(firsts.groupBy("doc_id", "root").agg(F.min("fp").alias("fp")).select(
+            F.col("doc_id").alias("first__"), F.col("fp").alias("mark__")), "simhash-firsts")
 
         @F.pandas_udf("long")
         def mark(text: pd.Series) -> pd.Series:
             fps = np.fromiter((fingerprint(t, words) for t in text), dtype=np.uint64, count=len(text))
             return pd.Series(fps.view(np.int64))
 
-        rows = docs.join(again, "doc_id", "left_semi").select(docs.columns).select(F.struct("*").alias("row__"))
+        rows = docs.join(again, docs["doc_id"].eqNullSafe(again["odd__"]), "left_semi").select(
+            docs.columns).select(F.struct("*").alias("row__"))
         rows = rows.select("row__", F.col("row__.doc_id").cast("long").alias("id__"),
-                           F.col("row__.text").cast("string").alias("text__"))
-        rows = rows.withColumn("fp__", mark("text__")).join(firsts, ["id__", "fp__"], "left_semi")
+                           F.col("row__.text").cast("string").alias("text__")).withColumn("fp__", mark("text__"))
+        rows = rows.join(firsts, F.col("id__").eqNullSafe(F.col("first__")) & (F.col("fp__") == F.col("mark__")), "left_semi")
         one = rows.groupBy("id__", "fp__").agg(F.min_by("row__", F.xxhash64("text__")).alias("row__"))
         kept = kept.unionByName(one.select("row__.*"))
     return kept.select(docs.columns)
