@@ -440,3 +440,35 @@ def test_coder_gives_the_tokenizers_ids_for_every_character():
     for run in ("a", " ", "\n", "^", "語", "é", "ab"):
         long = run * 100_000
         assert np.frombuffer(coder.encode([long])[0], "<u4").tolist() == t.encode(long, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<article><p>We get <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here.</p></article>", "We get x=2 here."),
+    ("<article><p>Before.</p><!-- gone --!><p>After.</p><!-- too --></article>", "Before.\n\nAfter."),
+    ("<article><p>Before.</p><svg><svg><text>in</text></svg><text>out</text></svg><p>After.</p></article>", "Before.\n\nAfter."),
+    ("<article><p>Before.</p><select><option>One<option>Two<p>After.</p></article>", "Before.\n\nAfter."),
+    ("<article><p>Before. <button>Share</p><p>After.</p></article>", "Before.\n\nAfter."),
+    ("<article><p>Before.</p><svg><text>cut</article>", "Before."),
+])
+def test_html_of_broken_and_nested_parts(page, text):
+    assert html.extract(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<div class='wrap-box'>x", "<font>x", "<b>x</i></div>", "<p><span>x", "<svg>x", "<li>x", "<td>x",
+                                  "<div><a href=x>y</b>", "<article><button>x"])
+def test_html_time_and_memory_grow_with_the_page(unit):
+    import time
+    import tracemalloc
+
+    def run(n):
+        at = time.process_time()
+        html.extract("<body>" + unit * n)
+        return time.process_time() - at
+
+    run(1000)
+    assert run(40_000) < 10  # quadratic ways take minutes
+    tracemalloc.start()
+    html.extract("<body>" + unit * 10_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6

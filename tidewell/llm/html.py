@@ -17,6 +17,7 @@ repeated rows give repeated rows; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import defaultdict
@@ -30,12 +31,16 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import attach, materialise
 
 #: Elements whose content is never text of the page.
-RAW = frozenset("script style noscript template iframe object svg math canvas audio video textarea title "
-                "select button option datalist".split())
+RAW = frozenset("script style noscript template iframe object svg canvas audio video textarea title "
+                "select button option datalist annotation annotation-xml".split())
+#: Of these, what runs to the page's end without an end tag; the others end at the next block.
+RAW_TEXT = frozenset("script style textarea title".split())
 #: Elements left out with all they hold.
 LEFT_OUT = frozenset("head nav footer aside form dialog menu fieldset".split())
 #: What holds the blocks outside every other container: both <html> and <body> may be left out.
 ROOT = "#root"
+#: Keys of the open containers and of open elements that are left out without an end tag.
+HELD, SKIPPED = "#held", "#skipped"
 CONTAINERS = frozenset("html body main article section div td center blockquote".split()) | {ROOT}
 BLOCKS = frozenset("html body main article section div td th tr table thead tbody tfoot center blockquote p h1 h2 "
                    "h3 h4 h5 h6 ul ol li dl dt dd pre figure figcaption header footer nav aside form address hr "
@@ -58,7 +63,8 @@ NEVER = frozenset("html body main article".split())
 REPLIES = frozenset("comment comments commentlist disqus respond replies".split())
 HINT = frozenset("content article post entry main story body text maincontent articlebody".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
+LONG_PATH = 200
+TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 READ = frozenset("class id role hidden aria-hidden style".split())
@@ -73,6 +79,7 @@ class Page:
     tags: list[str] = field(default_factory=list)
     paths: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
+    holders: list[int] = field(default_factory=list)  # the innermost container, the element itself included
     out: list[bool] = field(default_factory=list)
     hints: list[float] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # container, text, link characters
@@ -150,17 +157,39 @@ def _settle(page: Page, noise: dict[int, frozenset[str]], owners: list[int]) ->
         page.out = [a or b for a, b in zip(page.out, named)]
 
 
+def _skip(tag: str, text: str, at: int) -> int | None:
+    """Where the element ends that was opened before ``at``, inner elements of its name included; None: nowhere."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(text, at):
+        if m[1] or tag in RAW_TEXT:
+            depth -= bool(m[1])
+        elif not m[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return m.end()
+    return None
+
+
 def parse(text: str) -> Page:
-    """A forgiving reader: unclosed, misnested and cut-off markup all give blocks."""
-    page = Page([ROOT], [""], [-1], [False], [1.0])
+    """A forgiving reader: unclosed, misnested and cut-off markup all give blocks.
+
+    Time and memory grow with the page's length, however deep it nests: what an element
+    has from those around it is handed down, open elements are found by their tag, and
+    a path of over ``LONG_PATH`` characters goes on from its hash.
+    """
+    page = Page([ROOT], [""], [-1], [0], [False], [1.0])
+    inside = [False]  # in an article or main
     stack: list[int] = [0]  # open elements; no end tag closes the root
+    opened: dict[str, list[int]] = defaultdict(list, {HELD: [0]})  # places in the stack by tag; containers; skipped ones
+    endless: set[str] = set()  # left-out tags that are not all closed further on: elements like others from there
     buf: list[str] = []
     at, links, link_chars = 0, 0, 0
     noise: dict[int, frozenset[str]] = {}
     owners: list[int] = []  # the innermost element of each block
 
-    def container() -> int:
-        return next(e for e in reversed(stack) if page.tags[e] in CONTAINERS)
+    def place(*tags: str) -> int:
+        """Place in the stack of the innermost open element of these tags."""
+        return max((opened[t][-1] for t in tags if opened[t]), default=-1)
 
     def flush() -> None:
         nonlocal link_chars
@@ -169,7 +198,7 @@ def parse(text: str) -> Page:
             buf.clear()
             clean = " ".join(entities.unescape(raw).split())
             if clean and not page.out[stack[-1]]:
-                page.blocks.append((container(), clean, link_chars))
+                page.blocks.append((page.holders[stack[-1]], clean, link_chars))
                 owners.append(stack[-1])
         link_chars = 0
 
@@ -178,6 +207,9 @@ def parse(text: str) -> Page:
         while len(stack) > upto:
             e = stack.pop()
             links -= page.tags[e] == "a"
+            for names in (opened[page.tags[e]], opened[HELD], opened[SKIPPED]):
+                if names and names[-1] == len(stack):
+                    names.pop()
 
     size = len(text)
     while at < size:
@@ -198,8 +230,8 @@ def parse(text: str) -> Page:
             if tag in VOID:
                 buf.append(" ")
                 continue
-            k = next((k for k in range(len(stack) - 1, -1, -1) if page.tags[stack[k]] == tag), None)
-            if k is None or (tag not in BLOCKS and any(page.tags[e] in CONTAINERS for e in stack[k:])):
+            k = place(tag)
+            if k < 0 or (tag not in BLOCKS and place(HELD) > k):
                 continue
             if tag in BLOCKS or page.out[stack[k]] or stack[k] in noise:
                 flush()
@@ -211,13 +243,23 @@ def parse(text: str) -> Page:
             continue
         if tag in BLOCKS:
             flush()
+            if place(SKIPPED) > place(HELD):
+                close(place(SKIPPED))
         if tag == "hr":
             continue
         if tag in RAW:
-            if not attrs_text.rstrip().endswith("/"):
-                shut = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(text, at)
-                at = shut.end() if shut else size if tag in ("script", "style", "textarea", "title") else at
-            continue
+            if attrs_text.rstrip().endswith("/"):
+                continue
+            shut = None if tag in endless else _skip(tag, text, at)
+            if shut is not None:
+                at = shut
+                continue
+            if tag in RAW_TEXT:
+                at = size
+                continue
+            endless.add(tag)
+            if place(SKIPPED) > place(HELD):  # inside another one
+                continue
         attrs = {}
         if attrs_text:
             for a in ATTR.finditer(attrs_text):
@@ -225,21 +267,14 @@ def parse(text: str) -> Page:
                 if name in READ:
                     attrs.setdefault(name, a[2] or a[3] or a[4] or "")
         if tag in ENDS_P:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if page.tags[stack[k]] == "p"
-                      or page.tags[stack[k]] in CONTAINERS), None)
-            if k is not None and page.tags[stack[k]] == "p":
-                close(k)
+            if place("p") > place(HELD):
+                close(place("p"))
         if tag in CLOSES:
-            for k in range(len(stack) - 1, -1, -1):
-                t = page.tags[stack[k]]
-                if t in CLOSES[tag]:
-                    close(k)
-                    break
-                if t in ("ul", "ol", "dl", "table") or t in CONTAINERS:
-                    break
+            k = place(*CLOSES[tag])
+            if k >= 0 and k >= place(HELD, "ul", "ol", "dl", "table"):
+                close(k)
         parent = stack[-1]
-        inside = any(page.tags[e] in ("article", "main") for e in stack)
-        left_out = _left_out(tag, attrs, inside)
+        left_out = tag in RAW or _left_out(tag, attrs, inside[parent])
         words = _noise(tag, attrs)
         out = page.out[parent] or left_out
         if (left_out or words) and tag not in BLOCKS:
@@ -248,6 +283,8 @@ def parse(text: str) -> Page:
         if tag in CONTAINERS or tag in ("header",):
             names = sorted({DIGITS.sub("#", c) for c in attrs.get("class", "").lower().split()})
             base = f"{base}>{tag}" + "".join(f".{c}" for c in names)
+            if len(base) > LONG_PATH:
+                base = "~" + hashlib.blake2b(base.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
         hint = 2.0 if tag in ("article", "main") or attrs.get("role") == "main" else (
             1.5 if not HINT.isdisjoint(WORDS.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())) else 1.0)
         page.tags.append(tag)
@@ -256,10 +293,15 @@ def parse(text: str) -> Page:
         page.out.append(out)
         page.hints.append(1.0 if tag in ("html", "body") else hint)
         e = len(page.tags) - 1
+        page.holders.append(e if tag in CONTAINERS else page.holders[parent])
+        inside.append(inside[parent] or tag in ("article", "main"))
         if words:
             noise[e] = words
         if attrs_text.endswith("/") and tag not in BLOCKS:
             continue
+        for name, holds in ((tag, True), (HELD, tag in CONTAINERS), (SKIPPED, tag in RAW)):
+            if holds:
+                opened[name].append(len(stack))
         stack.append(e)
         links += tag == "a"
     flush()
@@ -275,10 +317,8 @@ def scores(page: Page) -> dict[str, float]:
     total: dict[int, float] = dict(own)
     for e in range(len(page.tags) - 1, -1, -1):  # children come after their parents
         s = total.get(e, 0.0)
-        p = page.parents[e]
-        while p >= 0 and page.tags[p] not in CONTAINERS:
-            p = page.parents[p]
-        if s and p >= 0 and page.tags[e] in CONTAINERS:
+        if s and e and page.tags[e] in CONTAINERS:
+            p = page.holders[page.parents[e]]
             total[p] = total.get(p, 0.0) + 0.6 * s
     out: dict[str, float] = defaultdict(float)
     for e, s in total.items():
