@@ -278,3 +278,87 @@ def test_top_k_rounds_take_every_step_once_and_cover_by_pigeonhole():
         flips = rng.integers(0, 2, 128) * (rng.random(128) < rng.random())
         parts = [int(flips[64 * w + a:64 * w + a + n].sum()) for w, a, n in segs]
         assert min(steps.index((k, d)) for k, d in enumerate(parts)) <= sum(parts)
+
+
+def made(df):
+    """Rows that the joins, generators and Python steps of a query make."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.nodeName()
+        if kind == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStage"):
+            todo.append(node.plan())
+        if any(w in kind for w in ("Join", "Generate", "Pandas")) and node.metrics().contains("numOutputRows"):
+            out += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return out
+
+
+def test_top_k_makes_no_row_per_probe(spark, monkeypatch):
+    """Without near neighbours a query probes about as many masks as there are codes; they are no rows."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    write, counts = topk.materialise, []
+
+    def counted(part, name):
+        counts.append(made(part))
+        return write(part, name)
+
+    monkeypatch.setattr(topk, "materialise", counted)
+    assert topk.top_k(df, df.where("vec_id % 20 = 0"), 10).count() == 300
+    assert 0 < sum(counts) <= 600 + 300
+
+
+def test_top_k_over_several_blocks_matches_a_scan(spark, monkeypatch):
+    """Blocks of about 50 codes of 100 bits, a chunk of few queries, pieces of 8: turns of 1, 1, 2, ... blocks."""
+    for name, value in (("BLOCK", 100), ("CHUNK", 2), ("PIECE", 8)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(9)
+    bits = rng.integers(0, 2, (260, 100))
+    bits[40:80] = bits[0]  # copies
+    bits[80:120] = bits[1] ^ (rng.random((40, 100)) < 0.02)  # near copies
+    df = spark.createDataFrame([(i, [float(2 * b - 1) for b in v]) for i, v in enumerate(bits)],
+                               "vec_id long, embedding array<double>")
+    turns, write = [], topk.materialise
+    monkeypatch.setattr(topk, "materialise", lambda part, name: (turns.append(name), write(part, name))[1])
+    got = topk.top_k(df, df.where("vec_id % 20 = 0"), 7).collect()
+    want = []
+    for q in range(0, 260, 20):
+        near = sorted((int((bits[q] != v).sum()), i) for i, v in enumerate(bits))[:7]
+        want += [(q, place + 1, i, d) for place, (d, i) in enumerate(near)]
+    assert sorted((r["query_id"], r["rank"], r["id"], r["distance"]) for r in got) == want
+    assert turns.count("topk-best") == 4
+
+
+@pytest.mark.parametrize("same,bound", [(0, 1 << 30), (200, 1 << 30), (200, 20)])
+def test_index_holds_few_codes_at_a_time(monkeypatch, same, bound):
+    """``same`` codes share a segment's value: what is met comes in parts, whatever the value's size."""
+    monkeypatch.setattr(topk, "HELD", 64)
+    rng = np.random.default_rng(10)
+    code = rng.integers(0, 1 << 63, (300, 1), dtype=np.uint64)
+    code[:same] &= ~np.uint64(0xFFFF)
+    code, n = np.unique(code, axis=0), rng.integers(1, 4, 300)
+    segs = topk.segments(64, 300)
+    index, sizes = topk.Index(code, n, segs), []
+    meet = index.met
+
+    def met(*args):
+        for row, c in meet(*args):
+            sizes.append((len(row), len(set(row.tolist()))))
+            yield row, c
+
+    index.met = met
+    q, c, d = index.search(code[::30], np.full(10, bound, np.int64), list(topk.rounds(segs)), 9)
+    for i, own in enumerate(code[::30, 0]):
+        all_ = sorted(((int(own) ^ v).bit_count(), j) for j, v in enumerate(code[:, 0].tolist()))
+        mine, rows = sorted(zip(d[q == i].tolist(), c[q == i].tolist())), 0
+        for near in all_:  # the codes that hold the nine nearest rows
+            if rows >= 9 or near[0] > bound:
+                break
+            assert near in mine
+            rows += n[near[1]]
+    assert all(rows <= 64 or at == 1 for rows, at in sizes)
